@@ -14,6 +14,7 @@ and the cost of the prefixes; its digests are carried over segments.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import runs, text_or_empty, tune
+from .base import text_or_empty, tune
 
 SEGMENT = 128
 CONTROL = ("<<ROLE>>", "<</ROLE>>", "[INST]", "[/INST]", "<s>", "</s>")
@@ -127,9 +128,9 @@ def _format(template, with_text: bool):
 
     def run(batches):
         rows = []
-        for table in runs(batches, ["conv_id"]):
-            turns = zip(table["role"].to_pylist(), table["text"].to_pylist(), strict=True)
-            rows.append(conversation(table["conv_id"][0].as_py(), turns))
+        each = (r for b in batches for r in zip(*(b.column(k).to_pylist() for k in ("conv_id", "role", "text")), strict=True))
+        for key, turns in itertools.groupby(each, lambda r: r[0]):  # turns are streamed, a segment is held
+            rows.append(conversation(key, (r[1:] for r in turns)))
             if len(rows) >= 500:
                 yield pa.RecordBatch.from_pylist([dict(zip(fields.names, r, strict=True)) for r in rows], fields)
                 rows = []
