@@ -103,12 +103,10 @@ def describe(media: bytes) -> tuple:
     return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(media), hashlib.sha256(media).hexdigest(), f"{len(t)}:{len(at)}:{digest}", at, codes
 
 
-@F.pandas_udf("binary")
 def _encode(text: pd.Series) -> pd.Series:
     return pd.Series([wav_bytes(pad((x or "").encode("utf-8", "surrogatepass"))) for x in text], dtype=object)
 
 
-@F.pandas_udf(DESCRIPTION)
 def _describe(media: pd.Series) -> pd.DataFrame:
     names = [x.split()[0] for x in DESCRIPTION.split(", ")]
     return pd.DataFrame([(None,) * len(names) if x is None else describe(bytes(x)) for x in media], columns=names, dtype=object)
@@ -116,12 +114,12 @@ def _describe(media: pd.Series) -> pd.DataFrame:
 
 def encode_wav(text: str | Column) -> Column:
     """Binary column: the text's UTF-8 bytes as a WAV file."""
-    return _encode(text_or_empty(text))
+    return F.pandas_udf(_encode, "binary")(text_or_empty(text))
 
 
 def describe_wav(media: str | Column) -> Column:
     """Struct column read back from stored WAV files (see DESCRIPTION)."""
-    return _describe(media)
+    return F.pandas_udf(_describe, DESCRIPTION)(media)
 
 
 def media_features(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

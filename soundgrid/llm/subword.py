@@ -100,7 +100,7 @@ def train(texts: list[str], labels: list[str], size: int = 16, epochs: int = 40,
     model = Model(classes, table.astype(np.float32), b.astype(np.float64), prior=prior)
     if len(held) >= 20:
         z = x[held].astype(np.float64) @ table.astype(np.float64) / SCALE + b
-        fits = [(-np.mean(np.log(softmax(z / t)[np.arange(len(held)), y[held]] + 1e-12)), t) for t in np.geomspace(0.05, 20, 60)]
+        fits = [(-np.mean(np.log(softmax(z / t)[np.arange(len(held)), y[held]] + 1e-12)), t) for t in np.geomspace(0.5, 20, 60)]
         model.temperature = float(min(fits)[1])
         sure = softmax(z / model.temperature).max(axis=1)
         model.reject_below = float(min(0.5, np.quantile(sure, false_rejections)))
