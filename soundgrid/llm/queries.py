@@ -92,8 +92,8 @@ FROM sized GROUP BY conv_id
 """
 
 _COMPONENTS = """
-both AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
-reach(id, seen) AS (SELECT x, y FROM both UNION SELECT reach.id, both.y FROM reach JOIN both ON reach.seen = both.x),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(id, seen) AS (SELECT x, y FROM ways UNION SELECT reach.id, ways.y FROM reach JOIN ways ON reach.seen = ways.x),
 least AS (SELECT id, min(seen) AS component FROM reach GROUP BY id)
 """
 
@@ -118,7 +118,7 @@ WITH RECURSIVE fine AS (
   AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0 AND len(list_filter(embedding, lambda v: v <> 0)) > 0),
 links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM fine a JOIN fine b ON a.vec_id < b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
 {_COMPONENTS},
-degree AS (SELECT x, count(*) AS n FROM both GROUP BY x)
+degree AS (SELECT x, count(*) AS n FROM ways GROUP BY x)
 SELECT v.vec_id, coalesce(g.n, 0) AS n_links, least(v.vec_id, coalesce(l.component, v.vec_id)) AS component_id, v.vec_id <= coalesce(l.component, v.vec_id) AS kept
 FROM embeddings v LEFT JOIN degree g ON g.x = v.vec_id LEFT JOIN least l ON l.id = v.vec_id
 """
