@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +33,36 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: a lost executor does not lose it, and later reads do not recompute."""
+    """Reliable checkpoint: a lost executor does not lose it, and later reads do not recompute.
+
+    Shuffle files and superseded checkpoints go when the driver has collected what held them; an iteration would
+    otherwise pile them up, so the driver is asked to collect here.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return done
+
+
+def sieve(ids: DataFrame, bits: int = 23) -> Callable[[DataFrame, str], DataFrame]:
+    """A filter that keeps the rows whose id may be among `ids` (a column `id`): no false negative.
+
+    A bitmap of 2**bits hashed ids, made by aggregation and broadcast: 1 MB at 23 bits whatever the number of ids.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+    map_ = ids.select(place(F.col("id")).alias("b")).groupBy(F.bitmap_bucket_number("b").alias("bucket_of_sieve")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits_of_sieve"))
+    sent = F.broadcast(cut(map_))
+
+    def keep(rows: DataFrame, key: str) -> DataFrame:
+        at = F.bitmap_bit_position(place(F.col(key)))
+        byte = F.conv(F.hex(F.substring("bits_of_sieve", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        set_ = F.expr("(shiftright(byte_of_sieve, bit_of_sieve) & 1) = 1")
+        found = rows.join(sent, F.bitmap_bucket_number(place(F.col(key))) == F.col("bucket_of_sieve"))
+        found = found.withColumn("byte_of_sieve", byte).withColumn("bit_of_sieve", (at % 8).cast("int")).where(set_)
+        return found.select(*(f"`{c}`" for c in rows.columns))
+
+    return keep
 
 
 def text_or_empty(col: str | Column) -> Column:

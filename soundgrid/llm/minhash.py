@@ -31,13 +31,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Forest, components, cut, runs, text_or_empty, tune
+from .base import Forest, components, cut, runs, sieve, text_or_empty, tune
 
 REGISTERS, MANTISSA = 128, 10
-BANDS, ROWS = 24, 4
+BANDS, ROWS = 40, 6
 MARGIN = 4.0
-BLOCK = 768
-PASSES = 3
+BLOCK = 1024
+PASSES = 2
 _SHIFT = np.uint64(57)
 _REST = np.uint64((1 << 57) - 1)
 _STARTS = np.arange(REGISTERS, dtype=np.uint64) << _SHIFT
@@ -220,14 +220,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: i
     sketch = cut(texts.mapInArrow(_sketch(width), "doc_id long, n_shingles long, set_high long, set_low long, bands array<long>"))
     held = sketch.where("n_shingles > 0 and doc_id is not null")
     reps = held.groupBy("set_high", "set_low").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
-    keyed = reps.select("rep", F.posexplode("bands").alias("band", "key"))
-    least = keyed.groupBy("band", "key").agg(F.min("rep").alias("u"), F.count("*").alias("n")).where("n > 1")
-    stars = keyed.join(least, ["band", "key"]).where("rep <> u").select(F.col("rep").alias("v"), "u")
+    keyed = reps.select("rep", F.explode("bands").alias("key")).repartition("key")  # one exchange serves the aggregate and the join
+    least = keyed.groupBy("key").agg(F.min("rep").alias("u"), F.max("rep").alias("last")).where("u < last")
+    stars = keyed.join(least, "key").where("rep <> u").select(F.col("rep").alias("v"), "u")
     clusters = components(stars).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     clusters = cut(clusters)
     sized = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
     members = clusters.join(sized, "cluster")
-    whole = texts.withColumnRenamed("doc_id", "rep")
+    whole = sieve(clusters.select(F.col("rep").alias("id")))(texts.withColumnRenamed("doc_id", "rep"), "rep")  # other texts are not shuffled
     with_text = members.join(whole, "rep")
     links = _verified(with_text.select("rep", "text", "cluster", F.pmod(F.xxhash64("rep", F.lit(0)), F.ceil(F.col("n") / block)).alias("part"), F.col("rep").alias("component")), ["cluster", "part"], width, percent)
     large = sized.where(F.col("n") > block)
