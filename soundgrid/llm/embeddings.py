@@ -2,8 +2,8 @@
 
 1. Equal vectors are one class with a count; copies are never paired.
 2. Each unit vector is dealt to the nearest of at most PIVOTS pivots (a bounded hash-chosen sample of the vectors) and, in a
-   pivot's cell, to blocks of about BLOCK.  A cell's radius is the largest angle to its pivot.  Two cells whose pivots'
-   angle exceeds both radii plus the threshold's angle hold no link, by the triangle inequality, and make no tile.
+   pivot's cell, to blocks of about BLOCK; cells smaller than a block share one.  A cell's radius is the largest angle to its pivot.  Two cells whose pivots'
+   angle exceeds both radii plus the threshold's angle hold no link, by the triangle inequality; areas without a pair of cells that may, make no tile.
 3. A tile is two blocks.  Its unit vectors are quantised to int8 with a scale of their own; u = s q + r with |r| = e known,
    so |u.v - (s q).(t p)| <= e_u + e_v + e_u e_v.  The integer products run as float32 matrix products, exact below 2**24 (DIMENSIONS bounds them).
    Pairs surely above the threshold count as links, pairs possibly above are recomputed in double precision.
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .base import Forest, components, cut, runs, tune
 
 PIVOTS = 192
-BLOCK = 4096
+BLOCK = 8192
 STRIP = 512  # rows multiplied at once
 DIMENSIONS = 1024  # 1024 * 127 * 127 < 2**24
 
@@ -131,7 +131,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, pivots: int = PIVO
     """vec_id, n_links, component_id, kept for every row."""
     spark = vectors.sparkSession
     tune(spark)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
     fine = F.coalesce(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0), F.lit(False))
     good = rows.where(fine & F.col("vec_id").isNotNull())
     classes = good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
@@ -141,17 +142,24 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, pivots: int = PIVO
         own = classes.where(F.col("size") == size)
         few = own.orderBy(F.xxhash64("rep"), "rep").limit(pivots).select("embedding").collect()
         centre = unit(np.array([r[0] for r in few], dtype=np.float64))
-        cells = cut(own.mapInArrow(_cells(centre), "rep long, n long, embedding array<double>, cell int, angle double"))
+        cells = cut(own.mapInArrow(_cells(centre), f"rep long, n long, embedding {kind}, cell int, angle double"))
         stats = {r["cell"]: r for r in cells.groupBy("cell").agg(F.count("*").alias("m"), F.max("angle").alias("radius")).collect()}  # at most `pivots` rows
-        blocks = {c: -(-r["m"] // block) for c, r in stats.items()}
         between = np.arccos(np.clip(centre @ centre.T, -1, 1))
         reach = float(np.arccos(np.clip(threshold, -1, 1))) + 1e-6
-        near = [(p, q, blocks[p], blocks[q]) for p in stats for q in stats if p <= q and between[p, q] <= stats[p]["radius"] + stats[q]["radius"] + reach]
+        area, size_of = {}, []  # areas: cells packed up to a block, nearest to the first pivot first
+        for c in sorted(stats, key=lambda c: between[0, c]):
+            if not size_of or size_of[-1] + stats[c]["m"] > block:
+                size_of.append(0)
+            size_of[-1] += stats[c]["m"]
+            area[c] = len(size_of) - 1
+        blocks = [-(-m // block) for m in size_of]
+        touch = {(area[p], area[q]) for p in stats for q in stats if area[p] <= area[q] and between[p, q] <= stats[p]["radius"] + stats[q]["radius"] + reach}
+        near = [(p, q, blocks[p], blocks[q]) for p, q in sorted(touch)]
         pairs = F.broadcast(spark.createDataFrame(near, "c1 int, c2 int, n1 int, n2 int"))  # at most pivots squared rows
-        dealt = cells.withColumn("block", F.col("rep"))
-        left = dealt.join(pairs, F.col("cell") == F.col("c1")).withColumn("b1", F.pmod(F.xxhash64("rep"), F.col("n1")).cast("int"))
+        dealt = cells.withColumn("area", F.create_map(*(F.lit(x) for item in area.items() for x in item))[F.col("cell")])
+        left = dealt.join(pairs, F.col("area") == F.col("c1")).withColumn("b1", F.pmod(F.xxhash64("rep"), F.col("n1")).cast("int"))
         left = left.select("rep", "n", "embedding", "c1", "b1", "c2", F.explode(F.when(F.col("c1") == F.col("c2"), F.sequence(F.col("b1"), F.col("n2") - 1)).otherwise(F.sequence(F.lit(0), F.col("n2") - 1))).alias("b2"), F.lit(0).alias("side"))
-        right = dealt.join(pairs, F.col("cell") == F.col("c2")).withColumn("b2", F.pmod(F.xxhash64("rep"), F.col("n2")).cast("int"))
+        right = dealt.join(pairs, F.col("area") == F.col("c2")).withColumn("b2", F.pmod(F.xxhash64("rep"), F.col("n2")).cast("int"))
         right = right.select("rep", "n", "embedding", "c1", F.explode(F.when(F.col("c1") == F.col("c2"), F.when(F.col("b2") > 0, F.sequence(F.lit(0), F.col("b2") - 1)).otherwise(F.array().cast("array<int>"))).otherwise(F.sequence(F.lit(0), F.col("n1") - 1))).alias("b1"), "c2", "b2", F.lit(1).alias("side"))
         keys = ["c1", "b1", "c2", "b2"]
         both = left.unionByName(right).repartition(*keys).sortWithinPartitions(*keys, "side", "rep")
