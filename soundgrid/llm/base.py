@@ -45,8 +45,9 @@ def cut(df: DataFrame) -> DataFrame:
     return done
 
 
-def sieve(ids: DataFrame, bits: int = 23) -> Callable[[DataFrame, str], DataFrame]:
-    """A filter that keeps the rows whose id may be among `ids` (a column `id`): no false negative.
+def sieve(ids: DataFrame, bits: int = 23) -> Callable[..., DataFrame]:
+    """A filter keep(rows, key, among=True) for the rows whose id may be among `ids` (a column `id`; no false negative), or with
+    among=False for those that surely are not.
 
     A bitmap of 2**bits hashed ids, made by aggregation and broadcast: 1 MB at 23 bits whatever the number of ids.
     """
@@ -54,12 +55,12 @@ def sieve(ids: DataFrame, bits: int = 23) -> Callable[[DataFrame, str], DataFram
     map_ = ids.select(place(F.col("id")).alias("b")).groupBy(F.bitmap_bucket_number("b").alias("bucket_of_sieve")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits_of_sieve"))
     sent = F.broadcast(cut(map_))
 
-    def keep(rows: DataFrame, key: str) -> DataFrame:
+    def keep(rows: DataFrame, key: str, among: bool = True) -> DataFrame:
         at = F.bitmap_bit_position(place(F.col(key)))
         byte = F.conv(F.hex(F.substring("bits_of_sieve", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
         set_ = F.expr("(shiftright(byte_of_sieve, bit_of_sieve) & 1) = 1")
-        found = rows.join(sent, F.bitmap_bucket_number(place(F.col(key))) == F.col("bucket_of_sieve"))
-        found = found.withColumn("byte_of_sieve", byte).withColumn("bit_of_sieve", (at % 8).cast("int")).where(set_)
+        found = rows.join(sent, F.bitmap_bucket_number(place(F.col(key))) == F.col("bucket_of_sieve"), "inner" if among else "left")
+        found = found.withColumn("byte_of_sieve", F.coalesce(byte, F.lit(0))).withColumn("bit_of_sieve", (at % 8).cast("int")).where(set_ if among else ~set_)
         return found.select(*(f"`{c}`" for c in rows.columns))
 
     return keep

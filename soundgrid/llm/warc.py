@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import cut, shared_dir, text_or_empty, tune
+from .base import cut, shared_dir, sieve, text_or_empty, tune
 
 MAGIC = "WARC/1.1\r\n"
 SMALLEST = 100
@@ -35,7 +35,10 @@ def write_archive(pages: DataFrame, folder: str, key: str = "page_id", url: str
     rows = pages.select(F.col(key).cast("long").alias("id"), F.regexp_replace(text_or_empty(url), r"[\r\n]+", " ").alias("url"), text_or_empty(html).alias("body"))
     rows = rows.withColumn("size", F.octet_length("body").cast("long")).withColumn("digest", F.sha2(F.col("body").cast("binary"), 256))
     firsts = rows.where(F.col("size") >= SMALLEST).groupBy(F.col("digest").alias("of")).agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    known = rows.join(firsts, F.col("digest") == F.col("of"), "left")
+    firsts = cut(firsts)
+    keep = sieve(firsts.select(F.col("of").alias("id")))  # payloads that surely occur once are not shuffled
+    alone = keep(rows, "digest", among=False).select("*", F.lit(None).cast("string").alias("of"), F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("n"))
+    known = alone.unionByName(keep(rows, "digest").join(firsts, F.col("digest") == F.col("of"), "left"))
     again = F.coalesce((F.col("first") != F.col("id")) | (F.col("first").isNotNull() & F.col("id").isNull()), F.lit(False))
     field = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     head = F.concat(
