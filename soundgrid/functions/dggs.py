@@ -44,24 +44,26 @@ def rhealpix_encode(lon: Column, lat: Column, resolution: int = MAX_RESOLUTION)
     if not 0 <= resolution <= MAX_RESOLUTION:
         raise ValueError(f"resolution is 0 to {MAX_RESOLUTION}")
     lon, lat = lon.cast("double"), lat.cast("double")
-    ok = ~F.isnan(lon) & ~F.isnan(lat) & (F.abs(lon) <= 180) & (F.abs(lat) <= 90)
-    turn = F.radians(F.when(lon == 180, F.lit(-180.0)).otherwise(lon)) * (2 / math.pi) + 2
-    quarter = F.greatest(F.lit(0.0), F.least(F.lit(3.0), F.floor(turn).cast("double")))
+    lon, lat = F.when((lon >= -180) & (lon < 180), lon).when(lon == 180, -180.0), F.when((lat >= -90) & (lat <= 90), lat)  # NaN fails these too
+    known = (lon * 0 + lat * 0).cast("long")  # 0, or null
+    turn = F.radians(lon) * (2 / math.pi) + 2
+    quarter = F.greatest(F.lit(0), F.least(F.lit(3), F.floor(turn))).cast("int")
     sine = _sine_authalic(lat)
-    flat = F.abs(sine) <= 2 / 3
+    # whole expressions are selected by factors 0 and 1, not by branches, so that their common parts are computed once
+    flat = (F.abs(sine) <= 2 / 3).cast("double")
     far = F.sqrt(F.greatest(F.lit(0.0), 3 * (1 - F.abs(sine))))
     along, out = (turn - quarter - 0.5) * far, far / 2
-    side = F.when(quarter == 0, along).when(quarter == 1, out).when(quarter == 2, -along).otherwise(-out)
-    rise = F.when(quarter == 0, -out).when(quarter == 1, along).when(quarter == 2, out).otherwise(-along)
-    right = F.when(flat, turn - quarter).otherwise(0.5 + side)
-    down = F.when(flat, 0.5 - 0.75 * sine).when(sine > 0, 0.5 - rise).otherwise(0.5 + rise)
-    face = F.when(flat, F.substring(F.lit("OPQR"), (quarter + 1).cast("int"), F.lit(1))).when(sine > 0, "N").otherwise("S")
+    cos = F.get(F.array(*map(F.lit, (1.0, 0.0, -1.0, 0.0))), quarter)
+    sin = F.get(F.array(*map(F.lit, (0.0, 1.0, 0.0, -1.0))), quarter)
+    right = flat * (turn - quarter) + (1 - flat) * (0.5 + along * cos + out * sin)
+    down = 0.5 - flat * 0.75 * sine - (1 - flat) * F.signum(sine) * (along * sin - out * cos)
+    face = F.substring(F.lit("SSSSOPQRNNNN"), (flat * 4 + (1 - flat) * (4 + 4 * F.signum(sine)) + quarter + 1).cast("int"), F.lit(1))
     if not resolution:
-        return F.when(ok, face)
-    place = lambda d: F.greatest(F.lit(0), F.least(F.lit(3**resolution - 1), F.floor(d * 3**resolution).cast("long")))
+        return F.when(known == 0, face)
+    place = lambda d: F.greatest(F.lit(0), F.least(F.lit(3**resolution - 1), F.floor(d * 3**resolution)))
     in_nine = lambda d: F.conv(F.conv(place(d).cast("string"), 10, 3), 9, 10).cast("long")
-    digits = F.conv((3 * in_nine(down) + in_nine(right)).cast("string"), 10, 9)
-    return F.when(ok, F.concat(face, F.lpad(digits, resolution, "0")))
+    digits = F.conv((3 * in_nine(down) + in_nine(right) + known).cast("string"), 10, 9)
+    return F.concat(face, F.lpad(digits, resolution, "0"))
 
 
 def with_cell(df: DataFrame, lon: str = "X", lat: str = "Y", resolution: int = MAX_RESOLUTION, name: str = "region_code") -> DataFrame:

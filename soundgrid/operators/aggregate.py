@@ -11,8 +11,11 @@ from soundgrid.functions.dggs import MAX_RESOLUTION, rhealpix_parent
 
 
 def value_count(df: DataFrame, column: str, name: str = "count") -> DataFrame:
-    """Rows per value of a column; null values are not counted."""
-    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias(name))
+    """Rows per value of a column; null values are not counted.
+
+    A filter on the value would be pushed below the aggregate and compute a derived value twice; the null group counts 0 instead.
+    """
+    return df.groupBy(column).agg(F.count(column).alias(name)).where(F.col(name) > 0)
 
 
 def cell_frequency(df: DataFrame, column: str = "region_code") -> DataFrame:
