@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from soundgrid.functions.boundary import geographic
 from soundgrid.functions.dggs import CORNERS, RADIUS
+from soundgrid.ship import ship
 
 EDGE = 0.000139  # degrees, default edge of a hexagon
 
@@ -70,6 +71,7 @@ def dissolve(cells: DataFrame, resolution: int, parent: int = 3) -> DataFrame:
 
     Rings are stitched within tiles, cells of resolution `parent` (0: whole faces), which bounds a task by the tile; outlines of neighbouring tiles then share their sides.
     """
+    ship(cells.sparkSession)
     parent = min(parent, resolution)
     tiles = cells.select("region_code", F.substring("region_code", 1, parent + 1).alias("part"))
     n = 3**resolution

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from soundgrid.operators.navigation import beam_positions, mark_centre_beam
 from soundgrid.schema import coerce_soundings
+from soundgrid.ship import ship
 
 # fixed values: record ids, and beam arrays by id with their sign
 RECORDS = {1: "GSF_HEADER", 2: "GSF_SWATH_BATHYMETRY_PING", 3: "GSF_SOUND_VELOCITY_PROFILE", 4: "GSF_PROCESSING_PARAMETERS", 5: "GSF_SENSOR_PARAMETERS", 6: "GSF_COMMENT", 7: "GSF_HISTORY", 8: "GSF_NAVIGATION_ERROR", 9: "GSF_SWATH_BATHY_SUMMARY", 10: "GSF_SINGLE_BEAM_PING", 11: "GSF_HV_NAVIGATION_ERROR", 12: "GSF_ATTITUDE"}
@@ -172,6 +173,7 @@ def _fields(schema: str) -> list[str]:
 
 def read_index(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A row per record of each file, without decoding."""
+    ship(spark)
 
     def run(frames):
         for pdf in frames:
@@ -186,6 +188,7 @@ def read_records(spark: SparkSession, path: str | list[str], record_type: str =
     if record_type not in KINDS:
         raise NotImplementedError(f"record type {record_type} is not decoded; known: {', '.join(KINDS)}")
     kind, schema = KINDS[record_type]
+    ship(spark)
 
     def run(frames):
         for pdf in frames:

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from soundgrid.plans.metadata import FIELD_LABELS, SHEETS, VALUE_LABEL
+from soundgrid.ship import ship
 
 ROWS = "path string, sheet string, position int, requirement string, field string, value string"
 _M = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -50,6 +51,8 @@ def form_rows(path: str, data: bytes):
 
 
 def read_form(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    ship(spark)
+
     def run(frames):
         for pdf in frames:
             for p, data in zip(pdf["path"], pdf["content"], strict=True):
