@@ -12,12 +12,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from soundgrid.ship import ship
+
 #: Rows in one Arrow batch: whole texts travel in them, so batches stay a few MB.
 BATCH_ROWS = 1000
 
 
 def tune(spark: SparkSession) -> None:
-    """Small Arrow batches, so that a Python worker's memory is bounded by a few MB of text."""
+    """Small Arrow batches, so that a Python worker's memory is bounded by a few MB of text; the package goes to workers that lack it."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 

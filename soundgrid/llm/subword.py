@@ -103,5 +103,5 @@ def train(texts: list[str], labels: list[str], size: int = 16, epochs: int = 40,
         fits = [(-np.mean(np.log(softmax(z / t)[np.arange(len(held)), y[held]] + 1e-12)), t) for t in np.geomspace(0.5, 20, 60)]
         model.temperature = float(min(fits)[1])
         sure = softmax(z / model.temperature).max(axis=1)
-        model.reject_below = float(min(0.5, np.quantile(sure, false_rejections)))
+        model.reject_below = float(min(1.5 / len(classes), np.quantile(sure, false_rejections)))
     return model
