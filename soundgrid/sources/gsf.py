@@ -220,8 +220,9 @@ def sidecar(index: DataFrame, columns: list[str] | None = None) -> DataFrame:
 SIDECAR = "gsf_uri string, size long, file_record_types map<string,struct<record_type:int,record_count:int,data_size:array<bigint>,checksum_flag:array<boolean>,indices:array<bigint>>>, bathymetry_ping_schema array<string>"
 
 
-def read_sidecar(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.schema(SIDECAR).option("multiLine", True).json(path)
+def read_sidecar(spark: SparkSession, path: str | list[str], document: bool = False) -> DataFrame:
+    """Sidecars as `write_sidecars` leaves them, a line each; `document`: one JSON document per file, over any number of lines."""
+    return spark.read.schema(SIDECAR).option("multiLine", document).json(path)
 
 
 def file_manifest(sidecars: DataFrame) -> DataFrame:
