@@ -29,7 +29,7 @@ def merge_cell_counts(*tables: DataFrame, column: str = "region_code") -> DataFr
 
 
 def load_and_merge(spark, paths: list[str], column: str = "region_code") -> DataFrame:
-    return spark.read.parquet(*paths).groupBy(column).agg(F.sum("count").cast("long").alias("count"))
+    return merge_cell_counts(*(spark.read.parquet(p).select(column, "count") for p in paths), column=column)
 
 
 def reduce_resolution(cells: DataFrame, resolution: int = 12) -> DataFrame:
