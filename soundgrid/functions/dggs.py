@@ -67,8 +67,14 @@ def rhealpix_encode(lon: Column, lat: Column, resolution: int = MAX_RESOLUTION)
 
 
 def with_cell(df: DataFrame, lon: str = "X", lat: str = "Y", resolution: int = MAX_RESOLUTION, name: str = "region_code") -> DataFrame:
-    """`df` with a cell code column."""
-    return df.withColumn(name, rhealpix_encode(F.col(lon), F.col(lat), resolution))
+    """`df` with a cell code column.
+
+    The code is computed in a projection of its own under a one-element explode: later filters on the code (and those that
+    joins infer) stay above it and do not compute it again, while filters on other columns still reach the scan.
+    """
+    names = [c for c in df.columns if c != name]
+    made = df.withColumn("dggs__code", rhealpix_encode(F.col(lon), F.col(lat), resolution))
+    return made.select(*(f"`{c}`" for c in names), F.explode_outer(F.array("dggs__code")).alias(name))
 
 
 def rhealpix_parent(code: Column, resolution: int) -> Column:
