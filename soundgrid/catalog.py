@@ -277,7 +277,7 @@ def schema_coercion(spark, d):
 # planning
 
 
-@query("SELECT c_custkey, ntile(14) OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS block FROM customer")
+@query("SELECT c_custkey, CAST(ntile(14) OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS INTEGER) AS block FROM customer")
 def scatter_ntile(spark, d):
     return planning.scatter(table(spark, d, "customer"), 14, ["c_custkey"], ["c_nationkey"]).select("c_custkey", "block")
 
