@@ -259,7 +259,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: i
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group of near duplicates (that with the least doc_id), with the columns of `docs`; of rows that repeat an id, one."""
-    names = docs.columns
-    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("doc_id_of_kept")).distinct()
-    found = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("doc_id_of_kept")), "left_semi")
-    return found.dropDuplicates(["doc_id"]).select(*(f"`{c}`" for c in names))
+    names = [f"`{c}`" for c in docs.columns]
+    found = cut(near_duplicates(docs, width, percent).where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept")))
+    # rows whose id is dropped or repeated are joined; the others, most of them, pass without a shuffle of their texts
+    keep = sieve(found.where("not kept or rows > 1").select(F.col("doc_id").alias("id")))
+    here = docs.where("doc_id is not null")
+    alone = keep(here, "doc_id", among=False).select(*names)
+    ids = found.where("kept").select(F.col("doc_id").alias("doc_id_of_kept"))
+    checked = keep(here, "doc_id").join(ids, F.col("doc_id") == F.col("doc_id_of_kept"), "left_semi").dropDuplicates(["doc_id"]).select(*names)
+    return alone.unionByName(checked).unionByName(docs.where("doc_id is null").select(*names))
