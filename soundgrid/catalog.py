@@ -175,7 +175,7 @@ _NORTH = f"CASE face WHEN 'N' THEN {3 * math.pi / 4!r} WHEN 'S' THEN {-math.pi /
 _CORNER = f"round({_R} * ({_WEST} + {math.pi / 2!r} * n / {3**RES}e0), 4) AS ul_x, round({_R} * ({_NORTH} - {math.pi / 2!r} * m / {3**RES}e0), 4) AS ul_y"
 
 
-@query(f"WITH {CODED}, c AS (SELECT DISTINCT region_code, face, n, m FROM coded) SELECT region_code, {_CORNER}, round({dggs.cell_width(RES)!r}, 4) AS width FROM c")
+@query(f"WITH {CODED}, c AS (SELECT DISTINCT region_code, face, n, m FROM coded) SELECT region_code, {_CORNER}, round(CAST({dggs.cell_width(RES)!r} AS DOUBLE), 4) AS width FROM c")
 def rhealpix_boundary_planar(spark, d):
     c = aggregate.cell_frequency(cells(spark, d)).select("region_code", boundary.planar_boundary(F.col("region_code")).alias("ring"))
     return c.select("region_code", F.round(F.col("ring")[0]["x"], 4).alias("ul_x"), F.round(F.col("ring")[0]["y"], 4).alias("ul_y"), F.round(F.col("ring")[1]["x"] - F.col("ring")[0]["x"], 4).alias("width"))
