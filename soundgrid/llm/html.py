@@ -44,7 +44,7 @@ ROLES = frozenset("navigation banner contentinfo complementary search form menu
 
 _SCAN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|select|canvas|video|audio|object|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
 _MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_WORD = re.compile(r"[A-Za-z]+")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 def marks(attributes: str) -> tuple[str, ...]:
@@ -53,11 +53,11 @@ def marks(attributes: str) -> tuple[str, ...]:
         return ()
     found = set()
     for m in _MARK.finditer(attributes):
-        value = (m[2] or m[3] or m[4] or "").lower()
+        value = m[2] or m[3] or m[4] or ""
         if m[1].lower() == "role":
-            found |= {"role:" + w for w in value.split()}
+            found |= {"role:" + w for w in value.lower().split()}
         else:
-            found |= WORDS & set(_WORD.findall(value))
+            found |= WORDS & {w.lower() for w in _WORD.findall(value)}
     return tuple(sorted(found))
 
 
