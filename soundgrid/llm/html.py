@@ -1,15 +1,17 @@
 """Main text of web pages by union-free regular expressions (wrappers) inferred from pages of the same host.
 
 A page is a stream of tokens: block tags and runs of text.  Inline tags vanish (a line break is white space), comments, scripts, styles and
-optional end tags leave no token.  A wrapper is a nested list of nodes: a tag, a text slot, an optional group or a repeated group, no
-unions.  It starts as one page and is aligned with each further sample page of the host: where tokens differ, a repeated
-group is sought first (a square of the group before the mismatch), then an optional group on either side (by the nearest token where both agree again).
-
-Wrappers are inferred from at most SAMPLE pages of a host, chosen by hash, of at most LONGEST bytes.  The choice is an aggregate
-of SAMPLE minima per host, so a hot host is never gathered.  The wrapper names the host's main container: that of an article tag, else a
-main tag, else the one with most sampled text outside chrome.  Each page's stream is matched against the wrapper; its slots in the main
-container and outside chrome (menus, headers, footers, sidebars, notices, adverts, forms, comments) make the text.  A page that its host's
-wrapper does not match is read by the container's rules alone, which name the same blocks.
+optional end tags leave no token; tags nested deeper than DEEP end a block but leave no token either.  A wrapper is a tree of units without
+unions: an element, a text slot, an optional unit, or a repeated group of units (which are optional if there are several).  In a list of
+siblings no two units begin alike, so a wrapper is bounded by the kinds of elements of a host and matching needs no backtracking.  A
+wrapper starts as one page and is aligned with each further page that it does not match: what one side lacks becomes optional, and
+what recurs, or comes in another order, becomes a repeated group.
+
+Every page takes part.  Tasks infer a wrapper of each host's pages among their rows and emit those, not pages; equal ones are dropped, the
+rest are aligned with each other in two rounds, so a hot host is never gathered.  Sums of the text by place name the host's main container:
+that of an article tag, else a main tag, else the place with most text outside chrome.  Slots of the wrapper in the main container and outside chrome
+(menus, headers, footers, sidebars, notices, adverts, forms, comments) are main slots, and a page's text is what its match puts in them.  A
+page that its host's wrapper does not match is read by the same rules of place on the page itself.
 
 Edge cases: null or empty html gives an empty text; a page without url or host belongs to the host ''; truncated tags and entities at the end are
 dropped or kept as text as browsers do; unclosed elements end with their container; nothing is dropped for being repeated or short.
@@ -18,20 +20,22 @@ dropped or kept as text as browsers do; unclosed elements end with their contain
 from __future__ import annotations
 
 import html as entities
+import itertools
 import json
 import re
+import sys
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import cut, runs, text_or_empty, tune
+from .base import cut, text_or_empty, tune
 
-SAMPLE = 6
-LONGEST = 1 << 18
-TOKENS = 4000
-BROADCAST = 16 << 20  # bytes of wrappers or sampled pages that are sent to all executors; beyond it they are joined by a shuffle
+DEEP = 512  # levels of elements, as HTML parsers have a limit of
+HOSTS = 1000  # hosts whose wrappers a task holds before it emits them
+SALTS = 64  # groups in which a host's wrappers are aligned before the last round
+BROADCAST = 16 << 20  # bytes of wrappers that are sent to all executors; beyond it they are joined by a shuffle
 
 # fixed values: element names of the HTML standard, and class words of page chrome
 BLOCK = frozenset("html head title body article main section div header footer nav aside h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption form fieldset address details summary hr menu dialog search template noscript iframe button select textarea option svg canvas video audio object math legend label".split())
@@ -42,6 +46,9 @@ CHROME = frozenset("head title nav footer aside form fieldset button menu dialog
 WORDS = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related replies reply share sharing sidebar signup social sponsor sponsored subscribe widget".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 
+SCOPES = frozenset("ul ol dl table td th blockquote".split())
+FLOW = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol blockquote pre td th tr tbody table figure figcaption dl dt dd".split())
+
 _SCAN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|select|canvas|video|audio|object|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
 _MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -64,6 +71,7 @@ def marks(attributes: str) -> tuple[str, ...]:
 def tokens(page: str) -> list[tuple[str, str, tuple]]:
     """(kind, value, marks): kind is `<` (open tag), `>` (close tag) or `t` (text, white space folded, not empty).  Tags are balanced."""
     out, stack, text, at = [], [], [], 0
+    opened: dict[str, int] = {}
 
     def flush():
         if text:
@@ -74,7 +82,17 @@ def tokens(page: str) -> list[tuple[str, str, tuple]]:
 
     def close(k):
         while len(stack) > k:
-            out.append((">", stack.pop(), ()))
+            own = stack.pop()
+            opened[own] -= 1
+            if len(stack) < DEEP:
+                out.append((">", own, ()))
+
+    def innermost(name, stops=()):
+        """Place of the innermost open element of that name; -1 if none is open or a stop comes first."""
+        k = len(stack) - 1 if opened.get(name) else -1
+        while k >= 0 and stack[k] != name:
+            k = -1 if stack[k] in stops else k - 1
+        return k
 
     for m in _SCAN.finditer(page):
         if m.start() > at:
@@ -89,182 +107,240 @@ def tokens(page: str) -> list[tuple[str, str, tuple]]:
             continue
         flush()
         if m[2]:
-            if name in stack:
-                close(len(stack) - 1 - stack[::-1].index(name))
-        else:
-            if name in IMPLIED and name in stack:
-                k = len(stack) - 1 - stack[::-1].index(name)
-                if not any(x in ("ul", "ol", "dl", "table", "td", "th", "blockquote") for x in stack[k + 1 :]):
-                    close(k)
-            elif stack and stack[-1] == "p" and name not in IMPLIED:
-                close(len(stack) - 1)  # a block element ends an open paragraph
+            if (k := innermost(name)) >= 0:
+                close(k)
+            continue
+        if name in IMPLIED and opened.get(name):
+            if (k := innermost(name, SCOPES)) >= 0:
+                close(k)
+        elif stack and stack[-1] == "p" and name not in IMPLIED:
+            close(len(stack) - 1)  # a block element ends an open paragraph
+        if len(stack) < DEEP:
             out.append(("<", name, marks(m[4] or "")))
-            if name in VOID:
-                out.append((">", name, ()))
-            else:
-                stack.append(name)
+        if name not in VOID:
+            stack.append(name)
+            opened[name] = opened.get(name, 0) + 1
+        elif len(stack) < DEEP:
+            out.append((">", name, ()))
     text.append(page[at:])
     flush()
     close(0)
     return out
 
 
-def same(a, b) -> bool:
-    return a[0] == b[0] and (a[0] == "t" or (a[1] == b[1] and a[2] == b[2]))
+# Units of a wrapper: ("t", main), ("e", (name, marks), siblings), ("?", unit), ("+", {key: unit}).  A key is what a unit begins with.
+TEXT = "t"
+
 
+def keys(unit) -> list:
+    if unit[0] == "e":
+        return [unit[1]]
+    if unit[0] == "+":
+        return list(unit[1])
+    return keys(unit[1]) if unit[0] == "?" else [TEXT]
 
-# wrapper nodes: ("<"|">", name, marks), ("t",), ("?", nodes), ("+", nodes)
 
+def kinds(unit) -> dict:
+    """The elements and texts of a unit by their keys."""
+    if unit[0] == "?":
+        return kinds(unit[1])
+    return unit[1] if unit[0] == "+" else {keys(unit)[0]: unit}
 
-def first_tokens(nodes) -> list:
-    """What may come first: nodes up to the first that must occur."""
-    out = []
-    for n in nodes:
-        if n[0] in "?+":
-            out += first_tokens(n[1])
-            if n[0] == "+":
-                break
+
+def merged(units) -> dict:
+    """Kinds of all units; those with equal keys become one."""
+    out: dict = {}
+    for unit in units:
+        for k, own in kinds(unit).items():
+            out[k] = ("e", k, generalise(out[k][2], own[2])) if k in out and k != TEXT else own
+    return out
+
+
+def collapse(units: list) -> list:
+    """Siblings with each key in one unit: a stretch between units of one key becomes a repeated group."""
+    last = {k: i for i, unit in enumerate(units) for k in keys(unit)}
+    out, i = [], 0
+    while i < len(units):
+        start, end = i, i
+        while i <= end:
+            for k in keys(units[i]):
+                end = max(end, last[k])
+            i += 1
+        if end == start:
+            out.append(units[start])
         else:
-            out.append(n)
-            break
+            group = ("+", merged(units[start:i]))
+            out.append(("?", group) if all(u[0] == "?" for u in units[start:i]) else group)
     return out
 
 
-def fits(nodes, token) -> bool:
-    return any(same(n, token) for n in first_tokens(nodes))
-
-
-def parse(nodes, page, at, take=None):
-    """Match nodes against page[at:]: the position after them, or None.  Groups are entered by their first token; `take` gets (page index) of texts in slots."""
-    for n in nodes:
-        if n[0] == "?":
-            if at < len(page) and fits(n[1], page[at]):
-                got = parse(n[1], page, at, take)
-                if got is not None:
-                    at = got
-        elif n[0] == "+":
-            got = parse(n[1], page, at, take)
-            if got is None:
-                return None
-            while got is not None:
-                at = got
-                got = parse(n[1], page, at, take) if at < len(page) and fits(n[1], page[at]) else None
-                if got == at:
-                    break
+def generalise(a: list, b: list) -> list:
+    """The wrapper of what either of two lists of siblings matches."""
+    in_a = {k: i for i, unit in enumerate(a) for k in keys(unit)}
+    in_b = {k: j for j, unit in enumerate(b) for k in keys(unit)}
+    out, i, j = [], 0, 0
+    while i < len(a) and j < len(b):
+        ahead_b = min([in_b[k] - j for k in keys(a[i]) if in_b.get(k, -1) >= j], default=None)
+        ahead_a = min([in_a[k] - i for k in keys(b[j]) if in_a.get(k, -1) >= i], default=None)
+        if ahead_b == 0:
+            both = merged([a[i], b[j]])
+            unit = ("+", both) if len(both) > 1 or "+" in (bare(a[i])[0], bare(b[j])[0]) else next(iter(both.values()))
+            out.append(("?", unit) if "?" in (a[i][0], b[j][0]) else unit)
+            i, j = i + 1, j + 1
+        elif ahead_b is not None and (ahead_a is None or ahead_b <= ahead_a):
+            out.append(optional(b[j]))
+            j += 1
         else:
-            if at >= len(page) or not same(n, page[at]):
-                return None
-            if take is not None and n[0] == "t":
-                take.append(at)
-            at += 1
-    return at
+            out.append(optional(a[i]))
+            i += 1
+    return collapse(out + [optional(u) for u in a[i:]] + [optional(u) for u in b[j:]])
 
 
-def element(page, at) -> int | None:
-    """End of the element (or text) that begins at `at`."""
-    if page[at][0] == "t":
-        return at + 1
-    if page[at][0] == ">":
-        return None
-    depth = 0
-    for k in range(at, len(page)):
-        depth += {"<": 1, ">": -1}.get(page[k][0], 0)
-        if not depth:
-            return k + 1
-    return None
-
-
-def fold(nodes) -> list:
-    """A page as wrapper nodes, with runs of two or more equally shaped sibling elements as repeated groups."""
-    out, k = [], 0
-    while k < len(nodes):
-        end = element(nodes, k)
-        if end is None or nodes[k][0] == "t":
-            out.append(("t",) if nodes[k][0] == "t" else nodes[k])
-            k += 1
-            continue
-        body = [nodes[k], *fold(nodes[k + 1 : end - 1]), nodes[end - 1]]
-        if out and out[-1][0] == "+" and out[-1][1][0] == nodes[k]:
-            out[-1] = ("+", generalise(out[-1][1], body))
-        elif len(out) and out[-1][0] == "element" and out[-1][1][0] == nodes[k]:
-            out[-1] = ("+", generalise(out[-1][1], body))
+def bare(unit):
+    return unit[1] if unit[0] == "?" else unit
+
+
+def optional(unit):
+    return unit if unit[0] == "?" else ("?", unit)
+
+
+def fold(page: list) -> list:
+    """A page's stream as a wrapper."""
+    levels: list[list] = [[]]
+    names = []
+    for kind, value, own in page:
+        if kind == "<":
+            names.append((value, own))
+            levels.append([])
+        elif kind == ">":
+            inner = collapse(levels.pop())
+            levels[-1].append(("e", names.pop(), inner))
         else:
-            out.append(("element", body))
-        k = end
-    flat = []
-    for n in out:
-        flat += n[1] if n[0] == "element" else [n]
-    return flat
-
-
-def units(nodes) -> list:
-    """Nodes as siblings: elements with their content, groups and texts."""
-    out, k = [], 0
-    while k < len(nodes):
-        if nodes[k][0] == "<":
-            depth, e = 0, k
-            while True:
-                depth += {"<": 1, ">": -1}.get(nodes[e][0], 0)
-                e += 1
-                if not depth or e == len(nodes):
-                    break
-            out.append(("e", nodes[k:e]))
-            k = e
+            levels[-1].append((TEXT, False))
+    return collapse(levels[0])
+
+
+def parse(siblings: list, page: list, at: int, take: list[int]) -> int | None:
+    """Match siblings against page[at:]: the position after them, or None.  `take` gets the page index of texts in main slots."""
+    for unit in siblings:
+        must = unit[0] != "?"
+        own = bare(unit)
+        if own[0] == "+":
+            group, times, most = own[1], 0, len(page)
+            must = must and len(group) == 1
         else:
-            out.append(nodes[k])
-            k += 1
-    return out
+            group, times, most = None, 0, 1
+        while times < most and at < len(page) and page[at][0] != ">":
+            found = TEXT if page[at][0] == TEXT else page[at][1:]
+            one = group.get(found) if group is not None else (own if found == (TEXT if own[0] == TEXT else own[1]) else None)
+            if one is None:
+                break
+            if one[0] == TEXT:
+                if one[1]:
+                    take.append(at)
+                at += 1
+            else:
+                at = parse(one[2], page, at + 1, take)
+                if at is None or at >= len(page) or page[at][0] != ">":
+                    return None
+                at += 1
+            times += 1
+        if must and not times:
+            return None
+    return at
 
 
-def key(unit):
-    if unit[0] == "e":
-        return unit[1][0]
-    if unit[0] in "?+":
-        return key(units(unit[1])[0])
-    return unit
+def matches(siblings: list, page: list) -> bool:
+    return parse(siblings, page, 0, []) == len(page)
 
 
-def generalise(a: list, b: list) -> list:
-    """The wrapper of what either of two wrappers matches: siblings are aligned by their first tokens, what only one side has becomes
-    optional, what one side repeats becomes repeated."""
-    ua, ub, out, i, j = units(a), units(b), [], 0, 0
-    while i < len(ua) or j < len(ub):
-        if i < len(ua) and j < len(ub) and key(ua[i]) == key(ub[j]):
-            x, y = ua[i], ub[j]
-            inner = [u[1] if u[0] in "e?+" else None for u in (x, y)]
-            if inner[0] is None or inner[1] is None:
-                merged = [("t",)]
-            elif x[0] == "e" == y[0]:
-                merged = [x[1][0], *generalise(x[1][1:-1], y[1][1:-1]), x[1][-1]]
+def add_page(known: list | None, page: list) -> list:
+    if known is not None and matches(known, page):
+        return known
+    return fold(page) if known is None else generalise(known, fold(page))
+
+
+def label(siblings: list, where: str, path: tuple = (), bad: bool = False, inside: bool = False) -> list:
+    """The wrapper with its slots in the container `where` and outside chrome marked as main slots."""
+
+    def one(unit):
+        if unit[0] == TEXT:
+            return TEXT, not bad and (inside or not where)
+        if unit[0] == "?":
+            return "?", one(unit[1])
+        if unit[0] == "+":
+            return "+", {k: one(u) for k, u in unit[1].items()}
+        name, own = unit[1]
+        below = (*path, name)
+        worse = bad or is_chrome(name, own, inside or name in ("article", "main"))
+        return "e", unit[1], label(unit[2], where, below, worse, inside or is_container(below, where, worse))
+
+    return [one(u) for u in siblings]
+
+
+def dump(siblings: list) -> str:
+    out: list = []
+
+    def put(units):
+        for unit in units:
+            if unit[0] == "?":
+                out.append("?")
+            own = bare(unit)
+            if own[0] == TEXT:
+                out.append(TEXT)
+            elif own[0] == "+":
+                out.append("+")
+                put(own[1].values())
+                out.append(")")
             else:
-                merged = generalise(*inner)
-            kinds = {x[0], y[0]}
-            group = merged
-            if "+" in kinds:
-                group = [("+", merged)]
-            if "?" in kinds:
-                group = [("?", group if "+" in kinds else merged)]
-            out += group
-            i, j = i + 1, j + 1
-            continue
-        ahead_b = next((k for k in range(j, len(ub)) if i < len(ua) and key(ub[k]) == key(ua[i])), None)
-        ahead_a = next((k for k in range(i, len(ua)) if j < len(ub) and key(ua[k]) == key(ub[j])), None)
-        if j < len(ub) and (i >= len(ua) or (ahead_b is not None and (ahead_a is None or ahead_b - j <= ahead_a - i))):
-            alone, j = ub[j], j + 1
-        elif i < len(ua):
-            alone, i = ua[i], i + 1
-        out.append(alone if alone[0] == "?" else ("?", alone[1] if alone[0] == "e" else [alone]))
-    return out
+                out.append([own[1][0], *own[1][1]])
+                put(own[2])
+                out.append(")")
+
+    put(siblings)
+    return json.dumps(out, ensure_ascii=False, separators=(",", ":"))
+
+
+def load(written: str) -> list:
+    items = iter(json.loads(written))
+
+    def get():
+        units, maybe = [], False
+        for x in items:
+            if x == ")":
+                break
+            if x == "?":
+                maybe = True
+                continue
+            if x == TEXT:
+                unit = (TEXT, False)
+            elif x == "+":
+                unit = ("+", {keys(u)[0]: u for u in get()})
+            else:
+                unit = ("e", (x[0], tuple(x[1:])), get())
+            units.append(("?", unit) if maybe else unit)
+            maybe = False
+        return units
+
+    return get()
 
 
 def infer(pages: list[str]) -> dict:
-    """Wrapper and main container of sampled pages of one host."""
-    streams = sorted((t for t in (tokens(p)[:TOKENS] for p in pages) if t), key=lambda t: (len(t), t))
-    nodes: list = []
-    for n, t in enumerate(streams):
-        own = fold(t)
-        nodes = generalise(nodes, own) if n else own
-    return {"nodes": nodes, "container": container(streams)}
+    """Labelled wrapper and main container of pages of one host."""
+    deep()
+    nodes, weights = None, {}
+    for page in pages:
+        if stream := tokens(page):
+            nodes = add_page(nodes, stream)
+            for path, n in weigh(stream).items():
+                weights[path] = weights.get(path, 0) + n
+    where = best(weights)
+    return {"nodes": label(nodes or [], where), "container": where}
+
+
+def deep() -> None:
+    """Room for the recursion over DEEP levels."""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 16 * DEEP))
 
 
 def is_chrome(name: str, own: tuple, inside: bool) -> bool:
@@ -275,28 +351,33 @@ def is_chrome(name: str, own: tuple, inside: bool) -> bool:
     return name in CHROME or (name == "header" and not inside) or bool(own and (set(own) & WORDS or any(x[5:] in ROLES for x in own if x.startswith("role:"))))
 
 
-def container(streams) -> str:
-    """Name of the main container: `article`, `main`, or the path of the element with most text of its own children."""
+def is_container(path, where: str, bad: bool) -> bool:
+    if path[-1] == where and not bad:
+        return True
+    return ("/" in where or where in ("html", "body", "div", "section")) and "/".join(path) == where
+
+
+def weigh(page) -> dict[str, int]:
+    """Characters of text outside chrome by the path of the elements around them; `article` and `main` are named if they occur."""
     weight: dict[str, int] = {}
-    names = set()
-    for page in streams:
-        path, bad = [], 0
-        for kind, value, own in page:
-            if kind == "<":
-                path.append(value)
-                bad += bad > 0 or is_chrome(value, own, "article" in path or "main" in path)
-                if not bad:
-                    names.add(value)
-            elif kind == ">":
-                path.pop()
-                bad -= bad > 0
-            elif not bad:
-                outer = [x for x in path if x not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "blockquote", "pre", "td", "th", "tr", "tbody", "table", "figure", "figcaption", "dl", "dt", "dd")]
-                weight["/".join(outer)] = weight.get("/".join(outer), 0) + len(value)
-    for best in ("article", "main"):
-        if best in names:
-            return best
-    return max(sorted(weight), key=weight.get, default="")
+    path, bad = [], 0
+    for kind, value, own in page:
+        if kind == "<":
+            path.append(value)
+            bad += bad > 0 or is_chrome(value, own, "article" in path or "main" in path)
+            if not bad and value in ("article", "main"):
+                weight.setdefault(value, 0)
+        elif kind == ">":
+            path.pop()
+            bad -= bad > 0
+        elif not bad:
+            outer = "/".join(x for x in path if x not in FLOW)
+            weight[outer] = weight.get(outer, 0) + len(value)
+    return weight
+
+
+def best(weight: dict[str, int]) -> str:
+    return min(weight, key=lambda x: (x != "article", x != "main", -weight[x], x), default="")
 
 
 def blocks(page, where: str) -> list[int]:
@@ -306,7 +387,7 @@ def blocks(page, where: str) -> list[int]:
         if kind == "<":
             path.append(value)
             bad += bad > 0 or is_chrome(value, own, inside > 0 or value in ("article", "main"))
-            inside += inside > 0 or (value == where and not bad) or (("/" in where or where in ("html", "body", "div", "section")) and "/".join(path) == where)
+            inside += inside > 0 or is_container(path, where, bad > 0)
         elif kind == ">":
             path.pop()
             bad -= bad > 0
@@ -321,15 +402,13 @@ def extract(page: str, wrapper: dict | None) -> tuple[str, bool]:
     stream = tokens(page)
     if not stream:
         return "", False
-    taken: list[int] = []
-    matched = wrapper is not None and parse(wrapper["nodes"], stream, 0, taken) == len(stream)
-    where = wrapper["container"] if wrapper else container([stream])
-    main = blocks(stream, where)
+    main: list[int] = []
+    matched = wrapper is not None and parse(wrapper["nodes"], stream, 0, main) == len(stream)
+    where = wrapper["container"] if wrapper else best(weigh(stream))
+    if not matched:
+        main = blocks(stream, where)
     if not main and not wrapper_has_main(where, stream):
-        main = blocks(stream, container([stream]))
-    if matched:
-        slots = set(taken)
-        main = [k for k in main if k in slots]
+        main = blocks(stream, best(weigh(stream)))
     return "\n".join(stream[k][1] for k in main), matched
 
 
@@ -341,58 +420,91 @@ def host_of(url: str):
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
 
 
+FOUND = "host string, wrapper string, path string, weight long"
+
+
 def _infer(batches):
+    """A task's wrappers by host, and its sums of text by host and path."""
+    deep()
+    shapes: dict[str, list] = {}
+    weights: dict[tuple[str, str], int] = {}
+
+    def emit():
+        rows = [(h, dump(w), None, None) for h, w in shapes.items()] + [(h, None, p, n) for (h, p), n in weights.items()]
+        shapes.clear()
+        weights.clear()
+        columns = list(zip(*rows, strict=True)) or [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.string(), pa.int64()), strict=True)], names=["host", "wrapper", "path", "weight"])
+
+    for batch in batches:
+        for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+            if stream := tokens(page):
+                shapes[host] = add_page(shapes.get(host), stream)
+                for path, n in weigh(stream).items():
+                    weights[host, path] = weights.get((host, path), 0) + n
+                if len(shapes) > HOSTS or len(weights) > 16 * HOSTS:
+                    yield emit()
+    yield emit()
+
+
+def _align(batches):
+    """Wrappers with equal (host, salt) become one; rows come sorted."""
+    deep()
     host, made = [], []
-    for table in runs(batches, ["host"]):
-        host.append(table["host"][0].as_py())
-        made.append(json.dumps(infer(table["html"].to_pylist()), ensure_ascii=False))
+    rows = (r for b in batches for r in zip(*(b.column(k).to_pylist() for k in ("host", "salt", "wrapper")), strict=True))
+    for key, own in itertools.groupby(rows, lambda r: r[:2]):
+        nodes = None
+        for r in own:
+            nodes = load(r[2]) if nodes is None else generalise(nodes, load(r[2]))
+        host.append(key[0])
+        made.append(dump(nodes))
+        if len(host) >= HOSTS:
+            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(made, pa.string())], names=["host", "wrapper"])
+            host, made = [], []
     yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(made, pa.string())], names=["host", "wrapper"])
 
 
-def _bounded(df: DataFrame, size_of: str) -> DataFrame:
+def _bounded(df: DataFrame, *sizes_of: str) -> DataFrame:
     """Broadcast below BROADCAST bytes, measured; else left to a shuffled join."""
-    size = df.agg(F.sum(F.octet_length(size_of) + 64)).first()[0] or 0
+    size = df.agg(F.sum(sum((F.octet_length(c) for c in sizes_of), F.lit(64)))).first()[0] or 0
     return F.broadcast(df) if size <= BROADCAST else df
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper as JSON) from sampled pages."""
-    rows = pages.select(host_of("url").alias("host"), F.xxhash64(text_or_empty("url"), F.col("page_id").cast("string")).alias("code"), text_or_empty("html").alias("html"))
-    fine = rows.where((F.octet_length("html") > 0) & (F.octet_length("html") <= LONGEST))
-    least = fine.groupBy("host").agg(F.array_distinct(F.array(*(F.min_by("code", F.xxhash64("code", F.lit(k))) for k in range(SAMPLE)))).alias("codes"))
-    chosen = cut(least.select("host", F.explode("codes").alias("code")))
-    n = chosen.count()
-    sampled = fine.join(F.broadcast(chosen) if n * 64 <= BROADCAST else chosen, ["host", "code"])
-    dealt = sampled.repartition("host").sortWithinPartitions("host", "code", "html")
-    return cut(dealt.mapInArrow(_infer, "host string, wrapper string"))
+    """(host, wrapper as `dump` writes it, container) from all pages."""
+    rows = pages.select(host_of("url").alias("host"), text_or_empty("html").alias("html"))
+    found = cut(rows.mapInArrow(_infer, FOUND))
+    first = F.struct(F.col("path") != "article", F.col("path") != "main", -F.col("weight"), F.col("path"))
+    places = found.where("path is not null").groupBy("host", "path").agg(F.sum("weight").alias("weight"))
+    places = places.groupBy("host").agg(F.min_by("path", first).alias("container"))
+    shapes = found.where("wrapper is not null").select("host", "wrapper")
+    for salts in (SALTS, 1):
+        salted = shapes.distinct().select("host", F.pmod(F.xxhash64("wrapper"), F.lit(salts)).alias("salt"), "wrapper")
+        shapes = salted.repartition("host", "salt").sortWithinPartitions("host", "salt", "wrapper").mapInArrow(_align, "host string, wrapper string")
+    return cut(shapes.join(places, "host", "left").withColumn("container", F.coalesce("container", F.lit(""))))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars, wrapper_matched for every row."""
     tune(pages.sparkSession)
-    known = _bounded(wrappers(pages), "wrapper")
+    known = _bounded(wrappers(pages), "wrapper", "container")
 
-    loaded: dict[str, dict] = {}
+    loaded: dict[tuple[str, str], dict] = {}
 
-    def wrapper_of(source):
-        if source is None:
+    def wrapper_of(*source):
+        if source[0] is None:
             return None
         if source not in loaded:
             if len(loaded) > 500:
                 loaded.clear()
-            made = json.loads(source)
-            made["nodes"] = _tuples(made["nodes"])
-            loaded[source] = made
+            loaded[source] = {"nodes": label(load(source[0]), source[1]), "container": source[1]}
         return loaded[source]
 
-    def texts(html: pd.Series, wrapper: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([extract(h, wrapper_of(w)) for h, w in zip(html, wrapper, strict=True)], columns=["text", "wrapper_matched"])
+    def texts(html: pd.Series, wrapper: pd.Series, where: pd.Series) -> pd.DataFrame:
+        deep()
+        return pd.DataFrame([extract(h, wrapper_of(w, c)) for h, w, c in zip(html, wrapper, where, strict=True)], columns=["text", "wrapper_matched"])
 
     udf = F.pandas_udf(texts, "text string, wrapper_matched boolean")
     rows = pages.select("page_id", "url", text_or_empty("html").alias("html"), host_of("url").alias("host")).join(known, "host", "left")
-    made = rows.select("page_id", "url", udf("html", "wrapper").alias("t"))
+    made = rows.select("page_id", "url", udf("html", "wrapper", "container").alias("t"))
     return made.select("page_id", "url", "t.text", F.length("t.text").cast("long").alias("n_chars"), "t.wrapper_matched")
-
-
-def _tuples(nodes):
-    return [(n[0], _tuples(n[1])) if n[0] in "?+" else ((n[0], n[1], tuple(n[2])) if n[0] in "<>" else ("t",)) for n in nodes]
