@@ -26,6 +26,7 @@ from .base import Forest, components, cut, runs, tune
 PIVOTS = 192
 BLOCK = 8192
 STRIP = 512  # rows multiplied at once
+SIZES = 1000  # different lengths of vectors; more are an error, since each is compared by itself
 DIMENSIONS = 1024  # 1024 * 127 * 127 < 2**24
 
 
@@ -138,7 +139,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, pivots: int = PIVO
     classes = good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
     classes = cut(classes.withColumn("size", F.size("embedding")))
     sums, edges = [], []
-    for size in sorted(r[0] for r in classes.select("size").distinct().limit(1000).collect()):
+    sizes = [r[0] for r in classes.select("size").distinct().limit(SIZES + 1).collect()]
+    if len(sizes) > SIZES:
+        raise ValueError(f"vectors of over {SIZES} lengths")
+    for size in sorted(sizes):
         own = classes.where(F.col("size") == size)
         few = own.orderBy(F.xxhash64("rep"), "rep").limit(pivots).select("embedding").collect()
         centre = unit(np.array([r[0] for r in few], dtype=np.float64))
