@@ -8,7 +8,9 @@ text inside the span, and reports templates that rewrite history (an output that
 Edge cases: a null text or role is an empty one; turns that tie are put in order of role and text, repeated rows stay
 repeated turns; an empty text has an empty span.  Of a template that rewrites history no spans are given (`rewrites` is
 true, the loss mask is empty).  A conversation is rendered in segments of SEGMENT turns, which bounds both the memory
-and the cost of the prefixes; its digests are carried over segments.
+and the cost of the prefixes; its digests are carried over segments.  Each later segment is rendered after the CONTEXT turns
+before it, whose output is taken off, so that what a template writes only before a first turn comes once, and a turn
+that rewrites the one before it is found at a segment's start too.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from .base import text_or_empty, tune
 
 SEGMENT = 128
+CONTEXT = 2
 CONTROL = ("<<ROLE>>", "<</ROLE>>", "[INST]", "[/INST]", "<s>", "</s>")
 _FIND = re.compile("|".join(map(re.escape, ("\\", *CONTROL))))
 _BACK = re.compile(r"\\([\\!])")
@@ -94,13 +97,14 @@ def _format(template, with_text: bool):
     def conversation(key, turns: Iterator[tuple[str, str]]):
         n = chars = loss_chars = segments = 0
         said, lost = hashlib.sha256(), hashlib.sha256()
-        rewrote, kept, kept_spans = False, [], []
+        rewrote, kept, kept_spans, context = False, [], [], []
 
         def segment(messages):
-            nonlocal n, chars, loss_chars, segments, rewrote
-            output, _, texts, again = locate(template, messages)
+            nonlocal n, chars, loss_chars, segments, rewrote, context
+            output, _, texts, again = locate(template, [*context, *messages])
             rewrote |= again
-            for role, text in template.read(output):
+            base, texts = len(template.render(context)) if context else 0, texts[len(context) :]
+            for role, text in template.read(output)[len(context) :]:
                 said.update(f"{role}\n{text}\n".encode())
                 n += 1
             flat = []
@@ -109,11 +113,12 @@ def _format(template, with_text: bool):
                     text = template.texts_in(output[span[0] : span[1]])
                     lost.update(text.encode())
                     loss_chars += len(text)
-                    flat += span
-            chars += len(output)
+                    flat += span[0] - base, span[1] - base
+            chars += len(output) - base
             segments += 1
+            context = messages[-CONTEXT:]
             if with_text:
-                kept.append(output)
+                kept.append(output[base:])
                 kept_spans.append(flat)
 
         pending = []

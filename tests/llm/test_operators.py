@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -92,6 +93,36 @@ def test_rewritten_history_is_found():
     assert chat.locate(Forgetful(), [("user", "long"), ("assistant", "yes"), ("user", "more")])[3]
 
 
+class Greeting(chat.InstTemplate):
+    """Writes a mark before the first turn only."""
+
+    def render(self, messages):
+        return "#" + super().render(messages) if messages else ""
+
+    def read(self, output):
+        return super().read(output.removeprefix("#"))
+
+
+def formatted(template, messages):
+    batch = pa.RecordBatch.from_pydict({"conv_id": [1] * len(messages), "role": [r for r, _ in messages], "text": [t for _, t in messages]})
+    return [r for b in chat._format(template, True)([batch]) for r in b.to_pylist()]
+
+
+@pytest.mark.parametrize("n", [1, 127, 128, 129, 400])
+def test_segments_join_to_one_rendering(n):
+    messages = [("user" if k % 2 == 0 else "assistant", f"t{k} [INST]") for k in range(n)]
+    (row,) = formatted(Greeting(), messages)
+    whole = Greeting().render(messages)
+    assert "".join(row["formatted"]) == whole and row["formatted_chars"] == len(whole) and row["n_turns"] == n and not row["rewrites"]
+    spoken = [chat.unescape(f[a:b]) for f, flat in zip(row["formatted"], row["loss_spans"], strict=True) for a, b in zip(flat[::2], flat[1::2], strict=True)]
+    assert spoken == [t for r, t in messages if r == "assistant"]
+
+
+def test_a_rewrite_at_a_segments_start_is_found(monkeypatch):
+    monkeypatch.setattr(chat, "SEGMENT", 1)
+    assert formatted(Forgetful(), [("user", "long"), ("user", "more")])[0]["rewrites"]
+
+
 def test_conversations(spark, monkeypatch):
     rows = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (2, 0, None, None), (None, 0, "user", "z"), (1, 1, "assistant", "b"), *((3, k, "user" if k % 2 == 0 else "assistant", f"t{k}") for k in range(300))]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("n", F.lit(1))
