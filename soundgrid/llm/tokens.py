@@ -1,8 +1,8 @@
 """Byte-level BPE ids from a public vocabulary file, and token counts that follow edits.
 
 Ids come from the vocabulary of a `tokenizers` JSON file (a parameter, read where a task runs and never copied).  Its merges are
-in rank order, so the faster encoder over the same ranks gives the same ids; texts that hold a special token's string go
-through `tokenizers` itself.
+in rank order, so the faster encoder over the same ranks gives the same ids; texts that hold a special token's string, or a run of
+white space that the faster encoder's pattern fails on, go through `tokenizers` itself.
 
 EditedText keeps a document's pre-tokens in leaves of about LEAF and a segment tree of (characters, tokens) over them.  An
 edit re-encodes the leaves it touches with the leaf before as context, goes on until a new pre-token ends where an old leaf
@@ -31,6 +31,8 @@ from .base import text_or_empty, tune
 
 VOCABULARY = "byte_bpe_50k.json"
 LEAF = 64
+BLANK = 100_000  # white space in a row that is left to `tokenizers`; the faster encoder fails on about a million
+_BLANKS = regex.compile(rf"\s{{{BLANK}}}")
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -53,7 +55,7 @@ class Encoder:
         self.sizes: dict[str, int] = {}
 
     def ids(self, text: str) -> list[int]:
-        if any(s in text for s in self.special):
+        if any(s in text for s in self.special) or (len(text) >= BLANK and _BLANKS.search(text)):
             self.exact = self.exact or Tokenizer.from_file(self.path)
             return self.exact.encode(text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(text)
@@ -65,7 +67,7 @@ class Encoder:
         for p in pieces:
             n = known.get(p)
             if n is None:
-                n = len(self.fast.encode_ordinary(p))
+                n = len(self.ids(p) if len(p) >= BLANK else self.fast.encode_ordinary(p))
                 if len(p) <= 64:
                     known[p] = n
             out.append(n)

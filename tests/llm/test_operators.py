@@ -296,6 +296,12 @@ def test_ids_are_the_tokenizers(enc, texts):
         assert enc.ids(x) == t.encode(x, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["a" + " " * 1_300_000 + "b", "\n" * 1_200_000, "word" + "\u3000" * 1_200_000])
+def test_white_space_of_any_length(enc, text):
+    own = Tokenizer.from_file(public_tokenizers.path(tokens.VOCABULARY)).encode(text, add_special_tokens=False).ids
+    assert enc.ids(text) == own and tokens.EditedText(text, enc).count == len(own)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("ab1 '\n\tlr.é")), max_size=400), st.lists(st.tuples(st.integers(0, 420), st.integers(0, 420), st.text(alphabet=st.sampled_from(list("ab1 'le\n")), max_size=12)), max_size=6))
 def test_edits_keep_counts(text, edits):
