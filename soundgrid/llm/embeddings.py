@@ -6,6 +6,7 @@
    angle exceeds both radii plus the threshold's angle hold no link, by the triangle inequality; areas without a pair of cells that may, make no tile.
 3. A tile is two blocks.  Its unit vectors are quantised to int8 with a scale of their own; u = s q + r with |r| = e known,
    so |u.v - (s q).(t p)| <= e_u + e_v + e_u e_v.  The integer products run as float32 matrix products, exact below 2**24 (DIMENSIONS bounds them).
+   Most pairs need only a product of their heads: the first quarter of the components and the norm of the rest, which bounds u.v by Cauchy-Schwarz.
    Pairs surely above the threshold count as links, pairs possibly above are recomputed in double precision.
 4. A tile returns, per class, its number of linked vectors and a parent in the tile's spanning forest: no pairs.  Components
    of these forests give the groups.
@@ -25,9 +26,11 @@ from .base import Forest, components, cut, runs, tune
 
 PIVOTS = 192
 BLOCK = 8192
-STRIP = 512  # rows multiplied at once
+STRIP = 256  # rows multiplied at once
 SIZES = 1000  # different lengths of vectors; more are an error, since each is compared by itself
 DIMENSIONS = 1024  # 1024 * 127 * 127 < 2**24
+HEAD = 256  # components of a head at most
+MANY = 64  # a strip is multiplied whole if over one pair in so many may be linked by its heads
 
 
 def matrix(column) -> np.ndarray:
@@ -47,26 +50,45 @@ def quantise(u: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return q.astype(np.float32), scale, np.linalg.norm(u - q * scale[:, None], axis=1) + 1e-12
 
 
+def heads(u: np.ndarray, q: np.ndarray, scale: np.ndarray, of: int) -> np.ndarray:
+    """The first `of` quantised components and the norm of the rest: a product of two bounds the vectors' own, but for the quantisation errors."""
+    return np.hstack([q[:, :of] * scale[:, None], np.linalg.norm(u[:, of:], axis=1)[:, None]]).astype(np.float32)
+
+
 def tile(a: np.ndarray, b: np.ndarray | None, threshold: float):
-    """Yields (i, j) index arrays of linked pairs, strip by strip; b None: the pairs i < j of a."""
+    """Yields (i, j) index arrays of linked pairs, strip by strip; b None: the pairs i < j of a.
+
+    A product of heads rules most pairs out.  The others' whole int8 products are taken, in one product of the strip where they are many.
+    """
     qa, sa, ea = quantise(a)
     qb, sb, eb = (qa, sa, ea) if b is None else quantise(b)
     right = a if b is None else b
     parts = -(-a.shape[1] // DIMENSIONS)
+    of = min(HEAD, a.shape[1] // 4)
+    ha, hb = heads(a, qa, sa, of), heads(right, qb, sb, of)
     for x in range(0, len(a), STRIP):
         y = slice(x, x + STRIP)
         lo = x if b is None else 0
-        dot = sum((qa[y, k::parts] @ qb[lo:, k::parts].T).astype(np.float64 if parts > 1 else np.float32) for k in range(parts))
-        # a cheap pass in single precision picks what may reach the threshold, with slack for its rounding
-        near = dot * sa[y, None].astype(np.float32) >= ((threshold - 1e-4 - eb[lo:] - ea[y].max() * (1 + eb[lo:])) / sb[lo:]).astype(np.float32)
-        i, j = np.nonzero(near)
+        # single precision picks what may reach the threshold, with slack for its rounding
+        worst = ea[y].max() + eb[lo:].max() * (1 + ea[y].max())
+        i, j = np.divmod(np.flatnonzero(ha[y] @ hb[lo:].T >= np.float32(threshold - 1e-4 - worst)), len(right) - lo)
         if not len(i):
             continue
+        if len(i) * MANY > len(ha[y]) * (len(right) - lo):
+            least = ((threshold - 1e-4 - eb[lo:] - ea[y].max() * (1 + eb[lo:])) / sb[lo:]).astype(np.float32)
+            dot = sum((qa[y, k::parts] @ qb[lo:, k::parts].T).astype(np.float64 if parts > 1 else np.float32) for k in range(parts))
+            i, j = np.nonzero(dot * sa[y, None].astype(np.float32) >= least)
+            dot = dot[i, j].astype(np.float64)
+        else:
+            dot = np.empty(len(i))
+            for c in range(0, len(i), 65536):
+                k = slice(c, c + 65536)
+                dot[k] = np.einsum("ij,ij->i", qa[i[k] + x], qb[j[k] + lo], dtype=np.float64 if parts > 1 else np.float32)
         i, j = i + x, j + lo
         if b is None:
             up = i < j
-            i, j = i[up], j[up]
-        close = dot[i - x, j - lo].astype(np.float64) * sa[i] * sb[j]
+            i, j, dot = i[up], j[up], dot[up]
+        close = dot * sa[i] * sb[j]
         error = ea[i] + eb[j] + ea[i] * eb[j]
         linked = close - error >= threshold + 1e-9
         unsure = np.flatnonzero(~linked & (close + error >= threshold - 1e-9))

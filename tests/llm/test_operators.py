@@ -274,6 +274,20 @@ def test_near_vectors_match_brute_force(spark, pivots, block):
     assert by.n_links.loc[[900, 901, 902, 903, 906]].sum() == 0 and by.n_links.loc[904] == 1 and by.component_id.loc[905] == 904
 
 
+@pytest.mark.parametrize("d", [1, 3, 64, 300, 2500])
+@pytest.mark.parametrize("threshold", [0.5, 0.95])
+def test_tiles_match_brute_force(d, threshold):
+    rng = np.random.default_rng(d)
+    loose = embeddings.unit(rng.normal(size=(600, d)))
+    close = embeddings.unit(loose[rng.integers(0, 40, 600)] + 0.3 * rng.normal(size=(600, d)) / np.sqrt(d))
+    for u in (loose, close):
+        sure, maybe = ({(i, j) for i, j in zip(*np.nonzero(np.triu(u @ u.T >= threshold + off, 1)), strict=True)} for off in (1e-12, -1e-12))
+        whole = {(i, j) for a, b in embeddings.tile(u, None, threshold) for i, j in zip(a, b, strict=True)}
+        parts = {(i, j + 300) for a, b in embeddings.tile(u[:300], u[300:], threshold) for i, j in zip(a, b, strict=True)}
+        assert sure <= whole <= maybe
+        assert {p for p in sure if p[0] < 300 <= p[1]} <= parts <= maybe
+
+
 def test_error_bounds_hold():
     r = np.random.default_rng(8)
     u = embeddings.unit(r.normal(size=(200, 64)))
