@@ -10,8 +10,6 @@ alphabetical order wins a tie).  Columns of the input beside doc_id and text nev
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -24,7 +22,6 @@ PER_CLASS = 300
 ROWS = 2400
 LONGEST = 1 << 16
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def fold(doc_id: str | Column = "doc_id") -> Column:
@@ -55,7 +52,7 @@ def predict(model: Model) -> callable:
     """Column function text -> struct(lang_pred, score, rejected)."""
 
     def one(text):
-        if not text or not model.classes or not _LETTER.search(text):
+        if not text or not model.classes or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, True
         p = model.posterior(text)
         best = int(np.argmax(p))
