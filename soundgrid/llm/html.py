@@ -44,12 +44,13 @@ RAW = frozenset("script style noscript template iframe svg textarea select canva
 IMPLIED = frozenset("p li dt dd tr td th option thead tbody tfoot".split())
 CHROME = frozenset("head title nav footer aside form fieldset button menu dialog search noscript template iframe select textarea option svg canvas video audio object math legend label".split())
 WORDS = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related replies reply share sharing sidebar signup social sponsor sponsored subscribe widget".split())
+NOT = frozenset("has with no without".split())  # what a class names after these is beside the element or absent: `has-sidebar`
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 
 SCOPES = frozenset("ul ol dl table td th blockquote".split())
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol blockquote pre td th tr tbody table figure figcaption dl dt dd".split())
 
-_SCAN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|textarea|select|canvas|video|audio|object|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
+_SCAN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(script|style|noscript|template|iframe|svg|textarea|select|canvas|video|audio|object|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
 _MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -64,7 +65,9 @@ def marks(attributes: str) -> tuple[str, ...]:
         if m[1].lower() == "role":
             found |= {"role:" + w for w in value.lower().split()}
         else:
-            found |= WORDS & {w.lower() for w in _WORD.findall(value)}
+            for name in value.split():
+                words = (w.lower() for w in _WORD.findall(name))
+                found |= WORDS.intersection(itertools.takewhile(lambda w: w not in NOT, words))
     return tuple(sorted(found))
 
 

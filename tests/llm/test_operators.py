@@ -145,6 +145,8 @@ def test_language_accuracy_and_odd_rows(spark, sf, docs):
     assert (got.held_out == [zlib.crc32(str(d).encode()) % 4 == 2 for d in got.doc_id]).all() and got.score.between(0, 1).all()
     odd = langid.identify(docs, langid.fit(all_docs)).toPandas()
     assert len(odd) == len(ODD) and set(odd[odd.doc_id.isin([1, 2, 3, 8])].lang_pred) == {"und"} and set(odd[odd.lang_pred == "und"].score) == {0.0}
+    marks = all_docs.limit(1).withColumn("text", F.lit("½ ² 12 Ⅷ —"))
+    assert langid.identify(marks, langid.fit(all_docs)).first()["lang_pred"] == "und"
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert set(langid.identify(unlabelled).toPandas().lang_pred) == {"und"}
     assert langid.keep_identified(docs, langid.fit(all_docs)).columns == docs.columns
@@ -425,6 +427,19 @@ def test_wrappers_generalise():
     assert html.extract(new, w) == ("\n".join(["t", *"a" * 9]), True)
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<body><div class='wrap has-sidebar'><div class='no-comments'><h1>T</h1><p>a</p></div><div class=sidebar>s</div></div></body>", "T\na"),
+        ("<body><div class='top-nav'>n</div><div class=post><h2>T</h2>a <b>b</b> c<br>d<div>e</div>f</div><div class='comment-list'><p>c</p></div><div id=cookieBanner>ok</div></body>", "T\na b c d\ne\nf"),
+        ("<article><header><h1>T</h1></header><p>a<!--> b <!-- x --!> c<p title='x>y'>d &lt;b&gt; &#65;&nbsp;e</p><footer>f</footer></article>", "T\na b c\nd <b> A e"),
+        ("<article><p>a<p>b<div>c</div>d<ul><li>e<li>f</ul><table><tr><td>1<td>2</table><script>var x='</article>';", "a\nb\nc\nd\ne\nf\n1\n2"),
+    ],
+)
+def test_pages_of_other_makes(page, text):
+    assert html.extract(page, None)[0] == text
+
+
 def tag_soup(rng):
     tags = ["p", "h2", "ul", "li", "div", "section", "nav", "b", "br", "article", "header", "td", "table"]
     return "".join(rng.choice(["<%s>", "</%s>", "<%s class=sidebar>"]) % rng.choice(tags) if rng.random() < 0.6 else f"w{rng.randrange(9)} " for _ in range(rng.randrange(40)))
