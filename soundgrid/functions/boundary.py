@@ -100,12 +100,15 @@ def cell_boundary(code: Column, planar: bool = False, trim_dart: bool = True, de
 
 
 def ring_bbox(ring: Column) -> Column:
-    xs, ys = F.transform(ring, lambda v: v["x"]), F.transform(ring, lambda v: v["y"])
-    return F.struct(F.array_min(xs).alias("min_x"), F.array_max(xs).alias("max_x"), F.array_min(ys).alias("min_y"), F.array_max(ys).alias("max_y"))
+    def box(c: Column) -> Column:
+        xs, ys = F.transform(c["ring"], lambda v: v["x"]), F.transform(c["ring"], lambda v: v["y"])
+        return F.struct(F.array_min(xs).alias("min_x"), F.array_max(xs).alias("max_x"), F.array_min(ys).alias("min_y"), F.array_max(ys).alias("max_y"))
+
+    return let(box, ring=ring)  # a ring is costly: it is computed once
 
 
 def _ring_text(ring: Column, form) -> Column:
-    return F.array_join(F.transform(F.concat(ring, F.slice(ring, 1, 1)), form), ", ")
+    return let(lambda c: F.array_join(F.transform(F.concat(c["ring"], F.slice(c["ring"], 1, 1)), form), ", "), ring=ring)
 
 
 def ring_wkt(ring: Column) -> Column:
