@@ -328,9 +328,9 @@ def combine_arrays(spark, d):
 
 @query("WITH f AS (SELECT list(o_orderkey ORDER BY o_orderkey) AS a, list(o_custkey ORDER BY o_orderkey) AS b FROM orders WHERE o_orderkey <= 500) SELECT unnest(a) AS a, unnest(b) AS b, unnest(range(len(a))) AS position FROM f")
 def positional_zip(spark, d):
-    o = table(spark, d, "orders").where("o_orderkey <= 500").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_custkey"))).alias("r"))
-    lists = o.select(F.transform("r", lambda x: x["o_orderkey"]).alias("a"), F.transform("r", lambda x: x["o_custkey"]).alias("b"))
-    return lists.select(F.posexplode(F.arrays_zip("a", "b")).alias("position", "z")).select("z.a", "z.b", F.col("position").cast("long").alias("position"))
+    o = table(spark, d, "orders")
+    left, right = (o.select(F.col("o_orderkey").alias("key"), F.col(c).alias(n)) for c, n in (("o_orderkey", "a"), ("o_custkey", "b")))
+    return planning.positional_zip(left, right, "key").select("a", "b", "position")
 
 
 # text and metadata

@@ -40,3 +40,19 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[str] | N
     names = [c for c in old.columns if c not in keys]
     rank = F.struct("age", *(order or []))
     return both.groupBy(*keys).agg(F.max_by(F.struct(*names), rank).alias("row")).select(*keys, "row.*").select(*old.columns)
+
+
+def positions(df: DataFrame, key: str, width: int = 65536) -> DataFrame:
+    """`position` of each row from 0 in order of an integer key (nulls first), by groups of `width` keys: only the groups' counts meet in one task."""
+    grouped = df.withColumn("group_of_keys", F.floor(F.col(key) / width).cast("long"))
+    counts = grouped.groupBy(F.col("group_of_keys").alias("of")).agg(F.count("*").alias("n"))
+    before = Window.orderBy(F.col("of").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select("of", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    rank = F.row_number().over(Window.partitionBy("group_of_keys").orderBy(key))
+    placed = grouped.withColumn("rank_in_group", rank).join(base, F.col("group_of_keys").eqNullSafe(F.col("of")))
+    return placed.withColumn("position", (F.col("base") + F.col("rank_in_group") - 1).cast("long")).drop("group_of_keys", "rank_in_group", "of", "base")
+
+
+def positional_zip(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Rows of two tables paired by their position in order of `key`, which is dropped; the shorter one is filled with nulls."""
+    return positions(left, key).drop(key).join(positions(right, key).drop(key), "position", "full")

@@ -287,3 +287,16 @@ def test_carry_forward_and_offsets(spark):
     df = spark.createDataFrame([("p", 0, 5, 2), ("p", 1, None, 3), ("p", 2, 7, 1)], "path string, i int, v int, num_beams int")
     assert [r["v"] for r in navigation.carry_forward(df, "v", ["path"], ["i"]).orderBy("i").collect()] == [5, 5, 7]
     assert [(r["start"], r["stop"]) for r in navigation.beam_offsets(df, ["path"], ["i"]).orderBy("i").collect()] == [(0, 2), (2, 5), (5, 6)]
+
+
+def test_positional_zip_takes_the_whole_table(spark, sf):
+    want = pd.read_parquet(f"{sf}/orders.parquet", columns=["o_orderkey", "o_custkey"]).sort_values("o_orderkey").reset_index(drop=True)
+    got = catalog.queries()["positional_zip"](spark, sf).toPandas().sort_values("position").reset_index(drop=True)
+    assert len(got) == len(want) > 500
+    assert got["a"].tolist() == want["o_orderkey"].tolist() and got["b"].tolist() == want["o_custkey"].tolist() and got["position"].tolist() == list(range(len(want)))
+
+
+def test_positions_over_group_borders(spark):
+    df = spark.createDataFrame([(k,) for k in (9, -3, 4, None, 0, 8, 5)], "k long")
+    got = planning.positions(df, "k", width=4).orderBy("position").collect()
+    assert [(r.k, r.position) for r in got] == [(k, i) for i, k in enumerate((None, -3, 0, 4, 5, 8, 9))]
