@@ -188,8 +188,8 @@ _TOP, _LOW = (f"((0.5e0 - (m + {k}) / {3**RES}e0) / 0.75e0)" for k in (0, 1))
 
 @query(f"WITH {CODED}, c AS (SELECT DISTINCT region_code, face, n, m FROM coded WHERE face IN ('O','P','Q','R')) SELECT region_code, round(degrees({_WEST} + {math.pi / 2!r} * n / {3**RES}e0), 6) AS min_x, round(degrees({_WEST} + {math.pi / 2!r} * (n + 1) / {3**RES}e0), 6) AS max_x, round(degrees({_LAT(_LOW)}), 6) AS min_y, round(degrees({_LAT(_TOP)}), 6) AS max_y FROM c")
 def geometry_slices(spark, d):
-    c = aggregate.cell_frequency(cells(spark, d)).where(F.col("region_code").rlike("^[OPQR]"))
-    b = c.select("region_code", boundary.ring_bbox(boundary.cell_boundary(F.col("region_code"))).alias("b"))
+    c = aggregate.cell_frequency(cells(spark, d))
+    b = c.select("region_code", boundary.cell_bbox(F.col("region_code")).alias("b"))
     return b.select("region_code", *(F.round(F.col(f"b.{k}"), 6).alias(k) for k in ("min_x", "max_x", "min_y", "max_y")))
 
 
@@ -216,8 +216,7 @@ def unpack_code(spark, d):
 
 @query(f"WITH {cell_ctes(3)}, c AS (SELECT DISTINCT CASE WHEN face IN ('N','S') THEN face ELSE 'E' END AS face, n + CASE face WHEN 'P' THEN 27 WHEN 'Q' THEN 54 WHEN 'R' THEN 81 ELSE 0 END AS n, m FROM coded WHERE region_code LIKE '%1%'), e AS (SELECT face, n AS x1, m AS y1, n + 1 AS x2, m AS y2 FROM c UNION ALL SELECT face, n + 1, m, n + 1, m + 1 FROM c UNION ALL SELECT face, n + 1, m + 1, n, m + 1 FROM c UNION ALL SELECT face, n, m + 1, n, m FROM c) SELECT * FROM e a WHERE NOT EXISTS (SELECT 1 FROM e b WHERE b.face = a.face AND b.x1 = a.x2 AND b.y1 = a.y2 AND b.x2 = a.x1 AND b.y2 = a.y1)")
 def dissolve_boundary_edges(spark, d):
-    c = aggregate.cell_frequency(cells(spark, d, 3)).where(F.contains("region_code", F.lit("1")))
-    return coverage.boundary_edges(c)
+    return coverage.boundary_edges(aggregate.cell_frequency(cells(spark, d, 3)))
 
 
 @query()
@@ -238,7 +237,7 @@ def hexbin_counts(spark, d):
 
 @query(f"WITH s AS ({SOUNDINGS}), m AS (SELECT *, radians(Y) AS p, sin(radians(heading)) AS e, cos(radians(heading)) AS h FROM s WHERE abs(Y) < 80), k AS (SELECT *, 111412.84e0*cos(p) - 93.5e0*cos(3*p) + 0.118e0*cos(5*p) AS lx, 111132.92e0 - 559.82e0*cos(2*p) + 1.175e0*cos(4*p) - 0.0023e0*cos(6*p) AS ly FROM m) SELECT ping_number, beam_number, l_partkey, l_suppkey, round(X + h/lx*across_track + e/lx*along_track, 6) AS beam_x, round(Y - e/ly*across_track + h/ly*along_track, 6) AS beam_y FROM k")
 def beam_lon_lat(spark, d):
-    made = navigation.beam_positions(soundings(spark, d).where("abs(Y) < 80"), "X", "Y")
+    made = navigation.beam_positions(soundings(spark, d), "X", "Y")
     return made.select("ping_number", "beam_number", "l_partkey", "l_suppkey", F.round("X", 6).alias("beam_x"), F.round("Y", 6).alias("beam_y"))
 
 

@@ -107,6 +107,25 @@ def ring_bbox(ring: Column) -> Column:
     return let(box, ring=ring)  # a ring is costly: it is computed once
 
 
+def cell_bbox(code: Column) -> Column:
+    """Box in degrees that holds the whole cell: of all its corners (the trimmed ring of a dart may lack one of its tips).
+
+    A corner at longitude 180 counts to the cell's side; a cell on both sides of it spans all longitudes, one around a pole reaches it.
+    """
+
+    def box(c: Column) -> Column:
+        b, inner = c["b"], F.filter(F.transform(c["ring"], lambda v: v["x"]), lambda x: F.abs(x) < 180 - 1e-9)
+        pole, wide = dggs.rhealpix_shape(code) == 1, b["max_x"] - b["min_x"] > 180
+        east, west = F.array_min(inner) > 0, F.array_max(inner) < 0
+        min_x = F.when(pole, -180.0).when(wide & east, F.array_min(inner)).when(wide, -180.0).otherwise(b["min_x"])
+        max_x = F.when(pole, 180.0).when(wide & west, F.array_max(inner)).when(wide, 180.0).otherwise(b["max_x"])
+        face = F.substring(code, 1, 1)
+        min_y, max_y = F.when(pole & (face == "S"), -90.0).otherwise(b["min_y"]), F.when(pole & (face == "N"), 90.0).otherwise(b["max_y"])
+        return F.struct(min_x.alias("min_x"), max_x.alias("max_x"), min_y.alias("min_y"), max_y.alias("max_y"))
+
+    return let(lambda r: let(box, ring=r["ring"], b=ring_bbox(r["ring"])), ring=cell_boundary(code, trim_dart=False))
+
+
 def _ring_text(ring: Column, form) -> Column:
     return let(lambda c: F.array_join(F.transform(F.concat(c["ring"], F.slice(c["ring"], 1, 1)), form), ", "), ring=ring)
 

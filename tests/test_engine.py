@@ -300,3 +300,80 @@ def test_positions_over_group_borders(spark):
     df = spark.createDataFrame([(k,) for k in (9, -3, 4, None, 0, 8, 5)], "k long")
     got = planning.positions(df, "k", width=4).orderBy("position").collect()
     assert [(r.k, r.position) for r in got] == [(k, i) for i, k in enumerate((None, -3, 0, 4, 5, 8, 9))]
+
+
+def square(code):
+    """(x, y) of a cell's upper left corner and its width, in radians of the plane."""
+    x0, y0 = (v * math.pi / 4 for v in dggs.CORNERS[code[0]])
+    w = math.pi / 2
+    for digit in map(int, code[1:]):
+        w /= 3
+        x0, y0 = x0 + digit % 3 * w, y0 - digit // 3 * w
+    return x0, y0, w
+
+
+def on_ellipsoid(x, y):
+    """Longitude and latitude in degrees of a position in the plane; the latitude by bisection of the authalic one."""
+    e, lon, sb = math.sqrt(dggs.E2), x, 8 * y / (3 * math.pi)
+    if abs(y) > math.pi / 4 + 1e-12:
+        u, v = x + 3 * math.pi / 4, abs(y) - math.pi / 2
+        sigma = max(abs(u), abs(v)) * 4 / math.pi
+        turn, along = (0, u) if v <= 0 and abs(u) <= -v + 1e-12 else (1, v) if u > 0 and abs(v) <= u + 1e-12 else (2, -u) if v > 0 and abs(u) <= v + 1e-12 else (3, -v)
+        lon = (along / sigma if sigma else 0) - 3 * math.pi / 4 + turn * math.pi / 2
+        sb = math.copysign(1 - sigma * sigma / 3, y)
+    q = lambda s: (1 - dggs.E2) * (s / (1 - dggs.E2 * s * s) + math.atanh(e * s) / e)
+    low, high = -1.0, 1.0
+    for _ in range(60):
+        s = (low + high) / 2
+        low, high = (s, high) if q(s) < sb * q(1.0) else (low, s)
+    return math.degrees(lon), math.degrees(math.asin(s))
+
+
+def test_boxes_of_all_cells(spark, sf):
+    rows = catalog.cells(spark, sf).select("X", "Y", "region_code").toPandas()
+    got = catalog.queries()["geometry_slices"](spark, sf).toPandas().set_index("region_code")
+    assert sorted(got.index) == sorted(rows["region_code"].unique()) and {"N", "S"} < set(got.index.str[0])
+    compared = 0
+    for code, box in got.iterrows():
+        x, y, w = square(code)
+        lon, lat = zip(*(on_ellipsoid(a, b) for a, b in ((x, y), (x + w, y), (x + w, y - w), (x, y - w))), strict=True)
+        if max(abs(v) for v in lon) < 180 - 1e-9 and not set(code[1:]) == {"4"}:
+            assert np.allclose(box[["min_x", "max_x", "min_y", "max_y"]].astype(float), [min(lon), max(lon), min(lat), max(lat)], rtol=0, atol=2e-6), code
+            compared += code[0] in "NS"
+    assert compared > 1000
+    inside = rows.join(got, on="region_code")
+    assert inside["X"].between(inside["min_x"] - 2e-6, inside["max_x"] + 2e-6).all() and inside["Y"].between(inside["min_y"] - 2e-6, inside["max_y"] + 2e-6).all()
+
+
+def test_boxes_at_the_pole_and_at_longitude_180(spark):
+    df = spark.createDataFrame([("N44",), ("S44",), ("N62",), ("N446462",), ("S408888",)], "c string").select("c", boundary.cell_bbox(F.col("c")).alias("b"))
+    got = {r["c"]: tuple(r["b"]) for r in df.collect()}
+    assert got["N44"][:2] == got["S44"][:2] == got["N62"][:2] == (-180.0, 180.0) and got["N44"][3] == 90.0 and got["S44"][2] == -90.0
+    assert all(170 < got[c][0] < got[c][1] <= 180 or -180 <= got[c][0] < got[c][1] < -170 or got[c][:2] == (-180.0, 180.0) for c in ("N446462", "S408888"))
+
+
+def test_outline_edges_of_all_cells(spark, sf):
+    codes = {r[0] for r in catalog.cells(spark, sf, 3).select("region_code").distinct().collect()}
+    edges = set()
+    for code in codes:
+        n = m = 0
+        for digit in map(int, code[1:]):
+            n, m = 3 * n + digit % 3, 3 * m + digit // 3
+        face, n = ("E", n + 27 * "OPQR".index(code[0])) if code[0] in "OPQR" else (code[0], n)
+        edges |= {(face, n, m, n + 1, m), (face, n + 1, m, n + 1, m + 1), (face, n + 1, m + 1, n, m + 1), (face, n, m + 1, n, m)}
+    want = {e for e in edges if (e[0], e[3], e[4], e[1], e[2]) not in edges}
+    got = [tuple(r) for r in catalog.queries()["dissolve_boundary_edges"](spark, sf).select("face", "x1", "y1", "x2", "y2").collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_beams_near_the_poles(spark, sf):
+    keys = ["ping_number", "beam_number", "l_partkey", "l_suppkey"]
+    s = catalog.soundings(spark, sf).toPandas().sort_values(keys).reset_index(drop=True)
+    got = catalog.queries()["beam_lon_lat"](spark, sf).toPandas().sort_values(keys).reset_index(drop=True)
+    assert len(got) == len(s) and (s["Y"].abs() >= 80).sum() > 100
+    p, h = np.radians(s["Y"].astype(float)), np.radians(s["heading"].astype(float))
+    per_lon = 111412.84 * np.cos(p) - 93.5 * np.cos(3 * p) + 0.118 * np.cos(5 * p)
+    per_lat = 111132.92 - 559.82 * np.cos(2 * p) + 1.175 * np.cos(4 * p) - 0.0023 * np.cos(6 * p)
+    across, along = s["across_track"].astype(float), s["along_track"].astype(float)
+    assert np.allclose(got["beam_x"], s["X"] + (np.cos(h) * across + np.sin(h) * along) / per_lon, rtol=1e-9, atol=2e-6)
+    assert np.allclose(got["beam_y"], s["Y"] + (np.cos(h) * along - np.sin(h) * across) / per_lat, rtol=1e-9, atol=2e-6)
