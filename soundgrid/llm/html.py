@@ -9,9 +9,9 @@ what recurs, or comes in another order, becomes a repeated group.
 
 Every page takes part.  Tasks infer a wrapper of each host's pages among their rows and emit those, not pages; equal ones are dropped, the
 rest are aligned with each other in two rounds, so a hot host is never gathered.  Sums of the text by place name the host's main container:
-that of an article tag, else a main tag, else the place with most text outside chrome.  Slots of the wrapper in the main container and outside chrome
+an article tag, else a main tag, else the whole page (pages of several layouts, or with text beside the longest, lose none).  Slots of the wrapper in the main container and outside chrome
 (menus, headers, footers, sidebars, notices, adverts, forms, comments) are main slots, and a page's text is what its match puts in them.  A
-page that its host's wrapper does not match is read by the same rules of place on the page itself.
+page that its host's wrapper does not match, or in whose main slots it has no text, is read by the same rules of place on the page itself.
 
 Edge cases: null or empty html gives an empty text; a page without url or host belongs to the host ''; truncated tags and entities at the end are
 dropped or kept as text as browsers do; unclosed elements end with their container; nothing is dropped for being repeated or short.
@@ -48,7 +48,6 @@ NOT = frozenset("has with no without".split())  # what a class names after these
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 
 SCOPES = frozenset("ul ol dl table td th blockquote".split())
-FLOW = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol blockquote pre td th tr tbody table figure figcaption dl dt dd".split())
 
 _SCAN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(script|style|noscript|template|iframe|svg|textarea|select|canvas|video|audio|object|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
 _MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -355,13 +354,11 @@ def is_chrome(name: str, own: tuple, inside: bool) -> bool:
 
 
 def is_container(path, where: str, bad: bool) -> bool:
-    if path[-1] == where and not bad:
-        return True
-    return ("/" in where or where in ("html", "body", "div", "section")) and "/".join(path) == where
+    return path[-1] == where and not bad
 
 
 def weigh(page) -> dict[str, int]:
-    """Characters of text outside chrome by the path of the elements around them; `article` and `main` are named if they occur."""
+    """Characters of text outside chrome by place: `article`, `main` (both named if they occur) or '' for the rest of the page."""
     weight: dict[str, int] = {}
     path, bad = [], 0
     for kind, value, own in page:
@@ -374,8 +371,8 @@ def weigh(page) -> dict[str, int]:
             path.pop()
             bad -= bad > 0
         elif not bad:
-            outer = "/".join(x for x in path if x not in FLOW)
-            weight[outer] = weight.get(outer, 0) + len(value)
+            place = "article" if "article" in path else "main" if "main" in path else ""
+            weight[place] = weight.get(place, 0) + len(value)
     return weight
 
 
@@ -407,18 +404,11 @@ def extract(page: str, wrapper: dict | None) -> tuple[str, bool]:
         return "", False
     main: list[int] = []
     matched = wrapper is not None and parse(wrapper["nodes"], stream, 0, main) == len(stream)
-    where = wrapper["container"] if wrapper else best(weigh(stream))
-    if not matched:
-        main = blocks(stream, where)
-    if not main and not wrapper_has_main(where, stream):
+    if not matched or not main:  # unknown, or of another layout than the host's other pages
         main = blocks(stream, best(weigh(stream)))
     return "\n".join(stream[k][1] for k in main), matched
 
 
-def wrapper_has_main(where: str, stream) -> bool:
-    return any(kind == "<" and value == where.rpartition("/")[2] for kind, value, _ in stream)
-
-
 def host_of(url: str):
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
 

@@ -440,6 +440,18 @@ def test_pages_of_other_makes(page, text):
     assert html.extract(page, None)[0] == text
 
 
+def test_pages_of_several_layouts_lose_no_text():
+    one = "<html><body><div class=menu>m</div><h1>{t}</h1><div><div>long text of the page {t}</div></div><section>more</section></body></html>"
+    other = "<html><body><div class=menu>m</div><section><p>article {t}</p></section></body></html>"
+    main, bare = "<body><main><p>in main</p></main></body>", "<body><div><p>in div</p></div><footer>f</footer></body>"
+    w = html.infer([one.format(t=k) for k in range(3)] + [other.format(t="x")])
+    assert html.extract(one.format(t=1), w) == ("1\nlong text of the page 1\nmore", True)
+    assert html.extract(other.format(t="x"), w) == ("article x", True)
+    w = html.infer(["<body><nav>n</nav><article>a</article></body>", main, bare])
+    assert [html.extract(p, w) for p in (main, bare)] == [("in main", True), ("in div", True)]
+    assert html.extract("<h3>new</h3><body><ol><li>layout</ol></body>", w) == ("new\nlayout", False)
+
+
 def tag_soup(rng):
     tags = ["p", "h2", "ul", "li", "div", "section", "nav", "b", "br", "article", "header", "td", "table"]
     return "".join(rng.choice(["<%s>", "</%s>", "<%s class=sidebar>"]) % rng.choice(tags) if rng.random() < 0.6 else f"w{rng.randrange(9)} " for _ in range(rng.randrange(40)))
