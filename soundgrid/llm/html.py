@@ -1,7 +1,7 @@
 """Main text of web pages by union-free regular expressions (wrappers) inferred from pages of the same host.
 
-A page is a stream of tokens: block tags and runs of text.  Inline tags vanish (a line break is white space), comments, scripts, styles and
-optional end tags leave no token; tags nested deeper than DEEP end a block but leave no token either.  A wrapper is a tree of units without
+A page is a stream of tokens: block tags and runs of text.  Inline tags vanish (a line break is white space; a formula's texts stay), comments,
+scripts, styles, drawings, what browsers show only in place of a medium, and optional end tags leave no token; tags nested deeper than DEEP end a block but leave no token either.  A wrapper is a tree of units without
 unions: an element, a text slot, an optional unit, or a repeated group of units (which are optional if there are several).  In a list of
 siblings no two units begin alike, so a wrapper is bounded by the kinds of elements of a host and matching needs no backtracking.  A
 wrapper starts as one page and is aligned with each further page that it does not match: what one side lacks becomes optional, and
@@ -38,18 +38,20 @@ SALTS = 64  # groups in which a host's wrappers are aligned before the last roun
 BROADCAST = 16 << 20  # bytes of wrappers that are sent to all executors; beyond it they are joined by a shuffle
 
 # fixed values: element names of the HTML standard, and class words of page chrome
-BLOCK = frozenset("html head title body article main section div header footer nav aside h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption form fieldset address details summary hr menu dialog search template noscript iframe button select textarea option svg canvas video audio object math legend label".split())
+BLOCK = frozenset("html head title body article main section div header footer nav aside h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption form fieldset address details summary hr menu dialog search template noscript iframe button select textarea option svg canvas video audio object legend label".split())
 VOID = frozenset("hr".split())
-RAW = frozenset("script style noscript template iframe svg textarea select canvas video audio object math".split())
+RAW = frozenset("script style noscript template iframe svg textarea select canvas video audio object".split())
 IMPLIED = frozenset("p li dt dd tr td th option thead tbody tfoot".split())
-CHROME = frozenset("head title nav footer aside form fieldset button menu dialog search noscript template iframe select textarea option svg canvas video audio object math legend label".split())
+CHROME = frozenset("head title nav footer aside form fieldset button menu dialog search noscript template iframe select textarea option svg canvas video audio object legend label".split())
 WORDS = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related replies reply share sharing sidebar signup social sponsor sponsored subscribe widget".split())
 NOT = frozenset("has with no without".split())  # what a class names after these is beside the element or absent: `has-sidebar`
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 
 SCOPES = frozenset("ul ol dl table td th blockquote".split())
 
-_SCAN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(script|style|noscript|template|iframe|svg|textarea|select|canvas|video|audio|object|math)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
+# an svg or math tag that closes itself, as browsers read it: a slash at the end of an unquoted value belongs to the value
+_CLOSED = r"<(?:svg|math)(?=[\s/])(?:\s++|/(?!>)|[^\s\"'>/=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+))?+)*+/>"
+_SCAN = re.compile(_CLOSED + r"|<!--(?:-?>|.*?(?:--!?>|\Z))|<(script|style|noscript|template|iframe|svg|textarea|select|canvas|video|audio|object|annotation|annotation-xml)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S | re.I)
 _MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 

@@ -440,6 +440,19 @@ def test_pages_of_other_makes(page, text):
     assert html.extract(page, None)[0] == text
 
 
+@pytest.mark.parametrize(
+    ("inner", "text"),
+    [
+        ('<p>one</p><svg class="i"/><p>two</p>', "one\ntwo"),
+        ("<p>one <svg width='1' data-x = 2 /> a</p><SVG/><p>two</p><svg><path d='M0'/><text>no</text></svg>", "one a\ntwo"),
+        ("<p>one</p><svg href=a/>no</svg><p>two</p>", "one\ntwo"),
+        ("<p>if <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation encoding=tex>x=1</annotation></math> then <math/> b</p>", "if x=1 then b"),
+    ],
+)
+def test_foreign_elements_end_at_their_tag(inner, text):
+    assert html.extract(f"<article>{inner}</article>", None)[0] == text
+
+
 def test_pages_of_several_layouts_lose_no_text():
     one = "<html><body><div class=menu>m</div><h1>{t}</h1><div><div>long text of the page {t}</div></div><section>more</section></body></html>"
     other = "<html><body><div class=menu>m</div><section><p>article {t}</p></section></body></html>"
