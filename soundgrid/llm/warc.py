@@ -91,8 +91,6 @@ def _candidates(keep: bool):
                     content = int(headers["content-length"])
                     if head + content + 4 == len(part) and not keep:  # whole in one part, the usual case: the payload needs no other row
                         digest, raw = hashlib.sha256(part[head : head + content]).hexdigest(), None
-                elif not part:
-                    raw = None
                 rows.append((file, block, at, len(part) + mark, head, content, list(headers.items()) if headers else None, digest, raw))
                 at += len(part) + mark
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(list(zip(*rows, strict=True)) or [[]] * len(CANDIDATE), CANDIDATE, strict=True)], names=[n for n, _ in CANDIDATE])
@@ -131,7 +129,7 @@ def read_archive(spark, folder: str) -> DataFrame:
     records = candidates.join(true, ["file", "at"])
     whole = records.where("digest is not null").select("file", "at", "headers", "content", "digest")
     broken = records.where("digest is null").select("file", "at", "next", "headers", "content", "head")
-    held = placed.where("raw is not null").select("file", "at", "raw")
+    held = placed.where("raw is not null and at >= 0").select("file", "at", "raw")
     false = candidates.where("digest is not null").join(true, ["file", "at"], "left_anti")
     if false.limit(1).count():  # a whole record in a payload: the bytes of its part are read again
         again = parts.mapInArrow(_candidates(True), CANDIDATE_SCHEMA).join(base, ["file", "block"]).withColumn("at", F.col("base") + F.col("at") - len(MAGIC))

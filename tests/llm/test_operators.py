@@ -394,6 +394,18 @@ def test_archive_with_decoys(spark, sf):
         assert r.refers_to == first[b] if again else np.isnan(r.refers_to)
 
 
+def test_archive_with_repeated_version_lines(spark):
+    line = "WARC/1.1\r\n"
+    bodies = [line * 2, "a" + line * 3 + "b", line * 4000, f"x{line}{line}WARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n{line}{line}", "plain"]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9k")
+    try:
+        pages = spark.createDataFrame([(k, "u", b) for k, b in enumerate(bodies)], "page_id long, url string, html string").coalesce(1)
+        got = {r["page_id"]: (r["payload_bytes"], r["payload_digest"]) for r in warc.archive_pages(pages).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {k: (len(b), hashlib.sha256(b.encode()).hexdigest()) for k, b in enumerate(bodies)}
+
+
 # HTML
 
 
