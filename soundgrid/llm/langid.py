@@ -29,15 +29,16 @@ def fold(doc_id: str | Column = "doc_id") -> Column:
 
 
 def bounded_sample(rows: DataFrame, label: str, text: str, key: str, per_class: int = PER_CLASS, at_most: int = ROWS) -> list[tuple[str, str]]:
-    """(text, label) of about `per_class` rows of each class.  Chosen by a hash of the key alone."""
+    """(text, label) of about `per_class` rows of each class, fewer if there are many.  Chosen by a hash of the key alone; `at_most` cuts all classes alike."""
     sizes = {r[0]: r[1] for r in rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(at_most).collect()}
     if not sizes:
         return []
-    of = 1 << 20
+    of, per_class = 1 << 20, min(per_class, at_most // len(sizes))
     share = F.create_map(*(x for c, n in sizes.items() for x in (F.lit(c), F.lit(min(of, -(-of * per_class // n))))))
     code = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(17)), F.lit(of))
-    picked = rows.where((code < share[F.col(label)]) & (F.octet_length(text) <= LONGEST)).select(code.alias("code"), F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).alias("label"))
-    return [(r.text, r.label) for r in picked.orderBy("code", "key", "text", "label").limit(at_most).collect()]
+    part = share[F.col(label)]
+    picked = rows.where((code < part) & (F.octet_length(text) <= LONGEST)).select((code / part).alias("rank"), code.alias("code"), F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).alias("label"))
+    return [(r.text, r.label) for r in picked.orderBy("rank", "key", "text", "label").limit(at_most).orderBy("code", "key", "text", "label").collect()]
 
 
 def fit(docs: DataFrame, held_out_fold: int | None = 2) -> Model:

@@ -153,6 +153,13 @@ def test_language_accuracy_and_odd_rows(spark, sf, docs):
     assert langid.identify(all_docs.limit(0)).count() == 0
 
 
+def test_rare_languages_are_learned_from(spark):
+    rows = spark.range(102_000).selectExpr("id as doc_id", "if(id < 100000, concat('c', id % 10), concat('r', id % 10)) as lang", "'text' as text").unionByName(spark.createDataFrame([(10**6 + k, "few", "text") for k in range(5)], "doc_id long, lang string, text string"))
+    sample = langid.bounded_sample(rows, "lang", "text", "doc_id")
+    found = Counter(c for _, c in sample)
+    assert len(sample) <= langid.ROWS and len(found) == 21 and found.pop("few") == 5 and min(found.values()) > 70 and max(found.values()) < 170
+
+
 def test_grams_of_long_texts_are_whole(monkeypatch):
     t = "".join(random.Random(1).choices("abc dé", k=5000))
     whole = subword.counts(t)
