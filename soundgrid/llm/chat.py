@@ -7,10 +7,11 @@ text inside the span, and reports templates that rewrite history (an output that
 
 Edge cases: a null text or role is an empty one; turns that tie are put in order of role and text, repeated rows stay
 repeated turns; an empty text has an empty span.  Of a template that rewrites history no spans are given (`rewrites` is
-true, the loss mask is empty).  A conversation is rendered in segments of SEGMENT turns, which bounds both the memory
-and the cost of the prefixes; its digests are carried over segments.  Each later segment is rendered after the CONTEXT turns
+true, the loss mask is empty).  A conversation is rendered in segments of SEGMENT turns, which bounds the cost of the prefixes; its digests are carried over segments.  Each later segment is rendered after the CONTEXT turns
 before it, whose output is taken off, so that what a template writes only before a first turn comes once, and a turn
-that rewrites the one before it is found at a segment's start too.
+that rewrites the one before it is found at a segment's start too.  At the ends of 2, 4, 8 ... segments and of the conversation
+all turns so far are rendered; where that is not what the segments gave, the template looks further back, and the whole
+conversation is rendered as one segment.  So a conversation's turns are held, and rendering them is linear unless a template looks back.
 """
 
 from __future__ import annotations
@@ -97,7 +98,7 @@ def _format(template, with_text: bool):
     def conversation(key, turns: Iterator[tuple[str, str]]):
         n = chars = loss_chars = segments = 0
         said, lost = hashlib.sha256(), hashlib.sha256()
-        rewrote, kept, kept_spans, context = False, [], [], []
+        rewrote, kept, kept_spans, context, written = False, [], [], [], hashlib.sha256()
 
         def segment(messages):
             nonlocal n, chars, loss_chars, segments, rewrote, context
@@ -115,20 +116,30 @@ def _format(template, with_text: bool):
                     loss_chars += len(text)
                     flat += span[0] - base, span[1] - base
             chars += len(output) - base
+            written.update(output[base:].encode("utf-8", "surrogatepass"))
             segments += 1
             context = messages[-CONTEXT:]
             if with_text:
                 kept.append(output[base:])
                 kept_spans.append(flat)
 
-        pending = []
+        def differs():
+            return rewrote or written.digest() != hashlib.sha256(template.render(said_so_far).encode("utf-8", "surrogatepass")).digest()
+
+        said_so_far, done, again = [], 0, False
         for turn in turns:
-            pending.append(turn)
-            if len(pending) == SEGMENT:
-                segment(pending)
-                pending = []
-        if pending:
-            segment(pending)
+            said_so_far.append(turn)
+            if len(said_so_far) - done == SEGMENT and not again:
+                segment(said_so_far[done:])
+                done = len(said_so_far)
+                again = segments > 1 and segments & (segments - 1) == 0 and differs()
+        if done < len(said_so_far) and not again:
+            segment(said_so_far[done:])
+        if again or (segments > 1 and differs()):  # the template looks further back than a segment
+            n = chars = loss_chars = segments = 0
+            said, lost = hashlib.sha256(), hashlib.sha256()
+            rewrote, kept, kept_spans, context = False, [], [], []
+            segment(said_so_far)
         return key, n, said.hexdigest(), loss_chars, lost.hexdigest(), chars, segments, rewrote, kept if with_text else None, kept_spans if with_text else None
 
     def run(batches):

@@ -118,6 +118,34 @@ def test_segments_join_to_one_rendering(n):
     assert spoken == [t for r, t in messages if r == "assistant"]
 
 
+class Numbered(chat.InstTemplate):
+    """Numbers its turns."""
+
+    def render(self, messages):
+        return "".join(f"{k}:{super(Numbered, self).render([m])}\n" for k, m in enumerate(messages))
+
+    def read(self, output):
+        return [m for line in output.splitlines() for m in super(Numbered, self).read(line.partition(":")[2])]
+
+
+class Recent(chat.InstTemplate):
+    """Keeps the last 130 turns."""
+
+    def render(self, messages):
+        return super().render(messages[-130:])
+
+
+@pytest.mark.parametrize("n", [128, 129, 300])
+def test_templates_that_look_far_back(n):
+    messages = [("user" if k % 2 == 0 else "assistant", f"t{k}") for k in range(n)]
+    (row,) = formatted(Numbered(), messages)
+    assert "".join(row["formatted"]) == Numbered().render(messages) and row["n_turns"] == n and not row["rewrites"]
+    spoken = [f[a:b] for f, flat in zip(row["formatted"], row["loss_spans"], strict=True) for a, b in zip(flat[::2], flat[1::2], strict=True)]
+    assert spoken == [t for r, t in messages if r == "assistant"]
+    (row,) = formatted(Recent(), messages)
+    assert "".join(row["formatted"]) == Recent().render(messages) and row["rewrites"] == (n > 130) and (row["loss_chars"] == 0) == (n > 130)
+
+
 def test_a_rewrite_at_a_segments_start_is_found(monkeypatch):
     monkeypatch.setattr(chat, "SEGMENT", 1)
     assert formatted(Forgetful(), [("user", "long"), ("user", "more")])[0]["rewrites"]
