@@ -14,7 +14,7 @@ Two documents are linked if 100 * |A and B| >= percent * |A or B|.
    standard errors below the threshold; a pair that verified links already connect is skipped, any other is verified on
    the full sets.  Only links of a spanning forest leave the task.
 5. Clusters of over BLOCK classes are dealt into blocks, several times anew; then each class outside its cluster's largest
-   component is held against the whole cluster, block by block.  So every pair is verified or connected, at any size.
+   component is held against the whole cluster, block by block.  So every pair down to the margin is verified or connected, at any size.
 6. Components of the verified links give the result.
 
 Edge cases: null, empty or blank texts have no shingles, link with nothing and are kept; rows that repeat a doc_id with
