@@ -1,16 +1,21 @@
 """Mixing to target weights with soft domain membership.
 
 A classifier (`subword`) learns domains from the labelled table (quality and toxic make the domain `q<quality>t<toxic>`) on a
-bounded sample and gives each document posterior domain probabilities.  Nonnegative document rates are then fitted so
-that the expected tokens of each domain, sum over documents of rate * tokens * posterior, match the targets in least
-squares.  The fit is projected gradient descent: a step moves every rate by a combination of its posteriors and clips
-it at 0 (and at `most`, if given).  The combination is the residual, scaled by the K x K matrix of second moments (a
-preconditioner); a step that raises the residual is halved.  Steps are kept as K numbers each and rates are recomputed
-from them by a column expression, so no iteration stores or shuffles documents: each is one aggregation to K + K*K sums.
+bounded sample (at most LABELLED rows are looked up; `langid.bounded_sample` takes 1,500 of them, of texts of at most `langid.LONGEST` bytes)
+and gives each document posterior domain probabilities.  Nonnegative document rates are then fitted so that the expected tokens of each
+domain, sum over documents of rate * tokens * posterior, match the targets in least squares.
+
+The fit is projected gradient descent with implicit steps.  In the metric that weighs a document by its tokens, the gradient of a
+document's rate is posterior . r, where r are the K residuals.  A step moves every rate along it and projects, rate = clip(start - posterior . v,
+0, most); an explicit step takes v = r / mu from the rates before, which needs tens of thousands of passes on ill-conditioned domains, an implicit
+one takes the r that the moved rates leave.  That v is the root of mu v + target - reached(v), the gradient of a convex function of K
+numbers, found by damped Newton steps: each pass is one aggregation to 1 + K + K(K+1)/2 sums, and no pass stores or shuffles documents.
+mu falls tenfold until the residual is zero or moves no more, which is the optimum of least squares; of all optimal rates these are
+the nearest to uniform ones.  The residual is a column of the result, and so is whether it is known to be the least.
 
 Edge cases: a null or empty text has no tokens and the prior as posteriors; with no labelled document there is the one
 domain `all`; an empty table gives an empty result; targets of domains that do not occur are dropped and the rest
-rescaled; repeated rows are rows of their own.
+rescaled; over DOMAINS domains are an error; repeated rows are rows of their own, and rows that share an id, or have none, are drawn alike.
 """
 
 from __future__ import annotations
@@ -31,13 +36,16 @@ from .subword import Model, train
 WEIGHTS = {"q1t0": 0.75, "q0t0": 0.22, "q1t1": 0.01, "q0t1": 0.02}
 #: Labelled rows whose texts are looked up for the sample.
 LABELLED = 4000
-STEPS = 30
-CLOSE = 1e-6
+DOMAINS = 32  # the passes sum K(K+1)/2 products
+PASSES = 200
+CLOSE = 1e-7  # of the budget
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame) -> Model:
     known = labels.where("doc_id is not null and quality is not null and toxic is not null").select(F.col("doc_id"), F.concat(F.lit("q"), F.col("quality").cast("string"), F.lit("t"), F.col("toxic").cast("string")).alias("domain"))
-    sizes = {r[0]: r[1] for r in known.groupBy("domain").count().orderBy(F.desc("count"), "domain").limit(64).collect()}
+    sizes = {r[0]: r[1] for r in known.groupBy("domain").count().limit(DOMAINS + 1).collect()}
+    if len(sizes) > DOMAINS:
+        raise ValueError(f"labels of over {DOMAINS} domains")
     if sizes:
         of = 1 << 20
         share = F.create_map(*(x for c, n in sizes.items() for x in (F.lit(c), F.lit(min(of, -(-of * (LABELLED // len(sizes)) // n))))))
@@ -61,60 +69,82 @@ def posteriors(model: Model):
 
 @dataclass
 class Rates:
-    """rate(p) = fold over the steps v of clip(rate - p.v, 0, most), from `start`."""
+    """rate(p) = clip(start - p . step, 0, most)."""
 
     start: float
+    step: list[float] = field(default_factory=list)
     most: float | None = None
-    steps: list[list[float]] = field(default_factory=list)
 
-    def column(self, p: str | Column) -> Column:
+    def unclipped(self, p: str | Column) -> Column:
         p = F.col(p) if isinstance(p, str) else p
+        return sum((-p[i] * F.lit(float(v)) for i, v in enumerate(self.step)), F.lit(self.start))
+
+    def column(self, p: str | Column) -> Column:
         top = F.lit(float("inf") if self.most is None else float(self.most))
-        if not self.steps:
-            return F.lit(self.start)
-        steps = F.array(*(F.array(*map(F.lit, v)) for v in self.steps))
-        move = lambda v: F.aggregate(F.zip_with(p, v, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-        return F.aggregate(steps, F.lit(self.start), lambda w, v: F.greatest(F.lit(0.0), F.least(top, w - move(v))))
+        return F.greatest(F.lit(0.0), F.least(top, self.unclipped(p)))
+
+
+def _pass(scored: DataFrame, rates: Rates, k: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """Over all documents, weighted by tokens: the sum of the integrals of their clipped rates, the tokens reached by domain, and the second moments of the free ones."""
+    rows = scored.select("tokens", "p", rates.unclipped("p").alias("s")).select("*", F.greatest(F.lit(0.0), F.least(F.lit(float("inf") if rates.most is None else rates.most), F.col("s"))).alias("w"))
+    s, w = F.col("s"), F.col("w")
+    held = F.when(s <= 0, 0.0).otherwise(w * s - w * w / 2)  # the integral of clip from 0 to s
+    free = F.when((w > 0) & (w == s), F.col("tokens")).otherwise(0.0)
+    domain = [F.col("p")[i] for i in range(k)]
+    sums = [(i, j) for i in range(k) for j in range(i, k)]
+    got = rows.agg(F.sum(F.col("tokens") * held), *(F.sum(F.col("tokens") * w * x) for x in domain), *(F.sum(free * domain[i] * domain[j]) for i, j in sums)).first()
+    moments = np.zeros((k, k))
+    for (i, j), v in zip(sums, got[1 + k :], strict=True):
+        moments[i, j] = moments[j, i] = v
+    return got[0], np.array(got[1 : 1 + k], dtype=float), moments
 
 
 def fit_rates(scored: DataFrame, classes: list[str], weights: Mapping[str, float] = WEIGHTS, budget: float | None = None, most: float | None = None) -> tuple[Rates, dict]:
-    """Rates for `scored` (tokens, p).  `budget`: tokens wanted in all; by default what the scarcest domain allows at rate 1."""
+    """Rates for `scored` (tokens, p), and a report: tokens expected and wanted by domain, residual (its length as a share of the budget), passes, whether
+    the residual is the least.  `budget`: tokens wanted in all; by default what the scarcest domain allows at rate 1."""
     k = len(classes)
     held = np.array(scored.agg(*(F.coalesce(F.sum(F.col("tokens") * F.col("p")[i]), F.lit(0.0)) for i in range(k))).first(), dtype=float)
     share = np.array([weights.get(c, 0.0) for c in classes])
     share = share / share.sum() if share.sum() > 0 else np.full(k, 1 / k)
     share = np.where(held > 0, share, 0)
     if not share.sum():
-        return Rates(1.0, most), {"expected": dict.fromkeys(classes, 0.0), "target": dict.fromkeys(classes, 0.0)}
+        return Rates(1.0, [0.0] * k, most), {"expected": dict.fromkeys(classes, 0.0), "target": dict.fromkeys(classes, 0.0), "residual": 0.0, "passes": 0, "converged": True}
     share /= share.sum()
     if budget is None:
         budget = float(min(held[i] / share[i] for i in range(k) if share[i] > 0))
     target, total = share * budget, held.sum()
-    rates = Rates(budget / total, most)
-    best, last = None, None
-    sums = [(i, j) for i in range(k) for j in range(i, k)]
-    for _ in range(STEPS):
-        w = rates.column("p")
-        free = F.when((F.col("w") > 0) & (F.col("w") < F.lit(float("inf") if most is None else most)), F.col("tokens")).otherwise(0.0)
-        got = scored.select("tokens", "p", w.alias("w")).agg(*(F.sum(F.col("w") * F.col("tokens") * F.col("p")[i]) for i in range(k)), *(F.sum(free * F.col("p")[i] * F.col("p")[j]) for i, j in sums)).first()
-        reached, h = np.array(got[:k], float), np.zeros((k, k))
-        for (i, j), v in zip(sums, got[k:], strict=True):
-            h[i, j] = h[j, i] = v
-        off = reached - target
-        size = float(np.abs(off).sum() / budget)
-        if best is None or size < best[0]:
-            best, last = (size, list(rates.steps), reached), (off, h)
-            if size < CLOSE:
+    start = float(budget / total)
+    rates = Rates(start, [0.0] * k, most)
+    at = np.zeros(k)
+    inner, reached, moments = _pass(scored, rates, k)
+    mu, passes, converged = 0.1 * total, 1, False
+    least = float(np.linalg.norm(reached - target)) / budget
+    while passes < PASSES:
+        value = mu / 2 * at @ at + target @ at + inner
+        while passes < PASSES:  # damped Newton steps to the implicit step of this mu
+            slope = mu * at + target - reached
+            if np.abs(slope).max() <= 1e-9 * budget:
                 break
-            off, h = last
-            step = np.linalg.solve(h + np.eye(k) * max(1e-9 * np.trace(h), 1e-9), off)
-        else:
-            step = np.array(rates.steps[-1]) / 2
-            if not np.abs(step).max() > 1e-9:
+            way, length = np.linalg.solve(moments + mu * np.eye(k), -slope), 1.0
+            while passes < PASSES:
+                to = at + length * way
+                tried = _pass(scored, Rates(start, to.tolist(), most), k)
+                passes += 1
+                now = mu / 2 * to @ to + target @ to + tried[0]
+                if now <= value + 1e-4 * length * (slope @ way) + 1e-12 * abs(value) or length < 1e-6:
+                    break
+                length /= 2
+            if length < 1e-6:
                 break
-        rates.steps = [*best[1], step.tolist()]
-    rates.steps = best[1]
-    return rates, {"expected": dict(zip(classes, best[2].tolist(), strict=True)), "target": dict(zip(classes, target.tolist(), strict=True))}
+            at, value, (inner, reached, moments) = to, now, tried
+        residual = float(np.linalg.norm(reached - target)) / budget
+        if residual < CLOSE or abs(least - residual) < CLOSE:
+            converged = True
+            break
+        least, mu = residual, mu / 10
+    rates = Rates(start, at.tolist(), most)
+    named = lambda x: dict(zip(classes, x.tolist(), strict=True))
+    return rates, {"expected": named(reached), "target": named(target), "residual": float(np.linalg.norm(reached - target)) / budget, "passes": passes, "converged": converged}
 
 
 def copies(rate: Column, doc_id: Column) -> Column:
@@ -124,17 +154,17 @@ def copies(rate: Column, doc_id: Column) -> Column:
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: Mapping[str, float] = WEIGHTS, budget: float | None = None, most: float | None = None) -> DataFrame:
-    """doc_id, tokens, posterior (map of domain to probability), rate, copies for every row."""
+    """doc_id, tokens, posterior (map of domain to probability), rate, copies, and the fit's residual and converged for every row."""
     tune(docs.sparkSession)
     model = fit_domains(docs, labels)
     scored = cut(docs.select("doc_id", posteriors(model)("text").alias("s")).select("doc_id", "s.tokens", "s.p"))
-    rates, _ = fit_rates(scored, model.classes, weights, budget, most)
+    rates, told = fit_rates(scored, model.classes, weights, budget, most)
     rate = rates.column("p")
-    return scored.select("doc_id", F.col("tokens").cast("long").alias("tokens"), F.map_from_arrays(F.array(*map(F.lit, model.classes)), "p").alias("posterior"), rate.alias("rate"), copies(rate, F.col("doc_id")).alias("copies"))
+    return scored.select("doc_id", F.col("tokens").cast("long").alias("tokens"), F.map_from_arrays(F.array(*map(F.lit, model.classes)), "p").alias("posterior"), rate.alias("rate"), copies(rate, F.col("doc_id")).alias("copies"), F.lit(told["residual"]).alias("residual"), F.lit(told["converged"]).alias("converged"))
 
 
 def keep_mixed(docs: DataFrame, labels: DataFrame, weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
-    """Rows of `docs` drawn at the fitted rates (at most 1), with its columns.  Posteriors are computed again in the pass that filters, which avoids a shuffle of the texts."""
+    """Rows of `docs` drawn at the fitted rates (at most 1), with its columns; one draw decides for all rows of an id.  Posteriors are computed again in the pass that filters, which avoids a shuffle of the texts."""
     tune(docs.sparkSession)
     model = fit_domains(docs, labels)
     scored = cut(docs.select(posteriors(model)("text").alias("s")).select("s.tokens", "s.p"))
