@@ -6,6 +6,9 @@ The classifier of `subword` learns from a bounded sample of labelled rows: about
 Edge cases: a null text or one without letters is `und` with score 0 and is rejected; a null lang is not learned from;
 with no labelled row at all every text is `und`; repeated rows and ties get equal predictions (the first class in
 alphabetical order wins a tie).  Columns of the input beside doc_id and text never matter to a prediction.
+
+Rejected are texts without letters, of a confidence near chance, and of which too few n-grams are known from training (`subword`): other
+scripts and languages, code, noise.  A rejected text with letters still carries the nearest language in `lang_pred`; `rejected` is a column of its own.
 """
 
 from __future__ import annotations
@@ -29,7 +32,10 @@ def fold(doc_id: str | Column = "doc_id") -> Column:
 
 
 def bounded_sample(rows: DataFrame, label: str, text: str, key: str, per_class: int = PER_CLASS, at_most: int = ROWS) -> list[tuple[str, str]]:
-    """(text, label) of about `per_class` rows of each class, fewer if there are many.  Chosen by a hash of the key alone; `at_most` cuts all classes alike."""
+    """(text, label) of about `per_class` rows of each class, fewer if there are many.  Chosen by a hash of the key alone; `at_most` cuts all classes alike.
+
+    Texts of over LONGEST bytes are not learned from: the driver holds at most `at_most` * LONGEST bytes.
+    """
     sizes = {r[0]: r[1] for r in rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(at_most).collect()}
     if not sizes:
         return []
@@ -55,9 +61,9 @@ def predict(model: Model) -> callable:
     def one(text):
         if not text or not model.classes or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, True
-        p = model.posterior(text)
+        p, hits, of = model.read(text)
         best = int(np.argmax(p))
-        return model.classes[best], float(p[best]), bool(p[best] < model.reject_below)
+        return model.classes[best], float(p[best]), bool(p[best] < model.reject_below or model.foreign(hits, of))
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def run(text: pd.Series) -> pd.DataFrame:
