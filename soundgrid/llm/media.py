@@ -1,8 +1,9 @@
 """Media columns: WAV payloads, short-time spectra and spectral-peak pair fingerprints.
 
-A media column is a binary column that holds a whole WAV file.  `encode_wav` stores bytes as 8-bit mono samples
-(the format's unsigned unit, so it is lossless); `describe_wav` reads a stored file back with the wave module and
-computes its features.
+A media column is a binary column that holds a whole WAV file.  `encode_wav` makes it of bytes as 8-bit mono samples (the format's
+unsigned unit, so it is lossless), `store_media` writes it as a table in the shared folder, and `describe_wav` reads a stored file back
+with the wave module and computes its features.  A fingerprint is two arrays: the frame of each pair's first peak (sorted), and the pair's code,
+which packs both bins and the frames between them; so pairs are looked up by code and aligned by time.
 
 Edge cases: null text is an empty one; the payload is padded with zero bytes to a positive multiple of 64, so an empty
 text gives 64 zero samples.  A null media value gives nulls.  Long signals are transformed in blocks of frames with a
@@ -21,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import text_or_empty, tune
+from .base import scratch, text_or_empty, tune
 
 UNIT = 64
 RATE = 8000
@@ -122,8 +123,16 @@ def describe_wav(media: str | Column) -> Column:
     return F.pandas_udf(_describe, DESCRIPTION)(media)
 
 
-def media_features(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per document: digests of the stored media and its fingerprint."""
+def store_media(docs: DataFrame, folder: str, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Writes (key, n_bytes, media) under `folder` and returns it as read back."""
     tune(docs.sparkSession)
-    made = docs.select(F.col(key), F.octet_length(text_or_empty(text)).cast("long").alias("n_bytes"), describe_wav(encode_wav(text)).alias("d"))
-    return made.select(key, "n_bytes", "d.payload_bytes", "d.payload_sha256", "d.tail_crc32", "d.media_bytes", "d.media_sha256", "d.feature", "d.pair_times", "d.pair_codes")
+    made = docs.select(F.col(key), F.octet_length(text_or_empty(text)).cast("long").alias("n_bytes"), encode_wav(text).alias("media"))
+    made.write.option("compression", "zstd").parquet(folder)
+    return docs.sparkSession.read.parquet(folder)
+
+
+def media_features(docs: DataFrame, text: str = "text", key: str = "doc_id", folder: str | None = None) -> DataFrame:
+    """One row per document: digests of the media as stored, its fingerprint's digest and both its arrays."""
+    folder = folder or scratch(docs.sparkSession, "media")
+    stored = store_media(docs, folder, text, key)
+    return stored.select(key, "n_bytes", describe_wav("media").alias("d")).select(key, "n_bytes", "d.*")

@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.media_features(table(spark, sf_dir, "documents")).drop("pair_times", "pair_codes")
+    return media.media_features(table(spark, sf_dir, "documents"))
 
 
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
