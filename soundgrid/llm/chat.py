@@ -157,8 +157,8 @@ def _format(template, with_text: bool):
 
 
 def format_conversations(turns: DataFrame, template=None, with_text: bool = True) -> DataFrame:
-    """One row per conversation, read back from its rendered output.  Rows without conv_id are put under id null's stand-in -1 << 63."""
+    """One row per conversation, read back from its rendered output.  Rows without conv_id are one conversation, of id null."""
     tune(turns.sparkSession)
-    lean = turns.select(F.coalesce(F.col("conv_id").cast("long"), F.lit(-(1 << 63))).alias("conv_id"), F.col("turn"), text_or_empty("role").alias("role"), text_or_empty("text").alias("text"))
+    lean = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn"), text_or_empty("role").alias("role"), text_or_empty("text").alias("text"))
     dealt = lean.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return dealt.mapInArrow(_format(template or InstTemplate(), with_text), SCHEMA)

@@ -17,13 +17,12 @@ and never referred to unless it is the only one; urls are stripped of line ends;
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import cut, shared_dir, sieve, text_or_empty, tune
+from .base import cut, scratch, sieve, text_or_empty, tune
 
 MAGIC = "WARC/1.1\r\n"
 SMALLEST = 100
@@ -148,7 +147,7 @@ def read_archive(spark, folder: str) -> DataFrame:
 def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of each page, from the archive as read back."""
     spark = pages.sparkSession
-    folder = folder or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    folder = folder or scratch(spark, "warc")
     write_archive(pages, folder)
     r = read_archive(spark, folder)
     h = F.col("headers")
@@ -156,7 +155,7 @@ def archive_pages(pages: DataFrame, folder: str | None = None) -> DataFrame:
     kind = h["warc-type"]
     return r.select(
         F.when(number(h["warc-record-id"]) != "", number(h["warc-record-id"])).cast("long").alias("page_id"),
-        h["x-payload-length"].cast("long").alias("payload_bytes"),
+        F.when(kind == "revisit", h["x-payload-length"].cast("long")).otherwise(F.col("content")).alias("payload_bytes"),
         F.when(kind == "revisit", F.regexp_replace(h["warc-payload-digest"], "^sha256:", "")).otherwise(F.col("digest")).alias("payload_digest"),
         kind.alias("record_type"),
         F.when(kind == "revisit", number(h["warc-refers-to"])).cast("long").alias("refers_to"),
