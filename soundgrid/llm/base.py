@@ -145,19 +145,43 @@ class Forest:
         return True
 
 
+HOT = 1000  # rows of a key from which on it counts as hot
+HOTS = 100_000  # hot keys at most: a table of them is broadcast
+
+
+def lookup(left: DataFrame, right: DataFrame, key: str, n: str = "n", how: str = "inner") -> DataFrame:
+    """Join (inner or left) of `left` with the columns of `right`, which has one row per key and in `n` how many rows of `left` have it.
+
+    Keys of over HOT rows (more rows if there are over HOTS such keys) are broadcast, so at most HOTS rows are; the other keys are joined by a shuffle in which
+    rows of hot keys are spread evenly.  `right` is read several times: cut it before.
+    """
+    names = [c for c in right.columns if c not in (key, n)]
+    total = right.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.max(n), F.lit(0))).first()
+    least = max(HOT, -(-total[0] // HOTS))
+    if total[1] <= least:
+        return left.join(right.select(key, *names), key, how).select(*left.columns, *names)
+    hot = F.broadcast(right.where(F.col(n) > least).select(F.col(key).alias("key_of_hot"), *(F.col(c).alias(f"{c}_of_hot") for c in names)))
+    cold = right.where(F.col(n) <= least).select(F.col(key).alias("key_of_cold"), F.lit(0).cast("long").alias("spread_of_cold"), *(F.col(c).alias(f"{c}_of_cold") for c in names))
+    met = F.col("key_of_hot").isNotNull()
+    placed = left.join(hot, F.col(key) == F.col("key_of_hot"), "left").withColumn("spread_of_left", F.when(met, F.xxhash64(*left.columns).bitwiseOR(F.lit(1).cast("long"))).otherwise(F.lit(0).cast("long")))
+    both = placed.join(cold, (F.col(key) == F.col("key_of_cold")) & (F.col("spread_of_left") == F.col("spread_of_cold")), "left")
+    both = both if how == "left" else both.where(met | F.col("key_of_cold").isNotNull())
+    return both.select(*left.columns, *(F.when(met, F.col(f"{c}_of_hot")).otherwise(F.col(f"{c}_of_cold")).alias(c) for c in names))
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) of the undirected graph `edges` (u, v): component is the least node.
 
-    Alternating large-star and small-star rounds; each is an aggregate and a join on the node, so a hub
-    is split by adaptive execution.  Nodes without edges are absent.  Self-loops are ignored.
+    Alternating large-star and small-star rounds; each is an aggregate and a lookup on the node, which broadcasts what
+    belongs to a hub.  Nodes without edges are absent.  Self-loops are ignored.
     """
     e = F.least("u", "v"), F.greatest("u", "v")
     now = cut(edges.where("u <> v").select(e[1].alias("u"), e[0].alias("v")).distinct())
     before = None
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "u")))
+        large = lookup(both.where("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("s")).select("s.u", "s.v").where("u <> v").distinct()
         now = cut(small)

@@ -13,7 +13,7 @@ Two documents are linked if 100 * |A and B| >= percent * |A or B|.
 4. In a cluster pairs are taken in falling order of the collision-corrected Jaccard estimate of their registers, down to MARGIN
    standard errors below the threshold; a pair that verified links already connect is skipped, any other is verified on
    the full sets.  Only links of a spanning forest leave the task.
-5. Clusters of over BLOCK classes are dealt into blocks, several times anew; then each class outside its cluster's largest
+5. Clusters of over BLOCK classes, or SHINGLES shingles, are dealt into blocks, several times anew; then each class outside its cluster's largest
    component is held against the whole cluster, block by block.  So every pair down to the margin is verified or connected, at any size.
 6. Components of the verified links give the result.
 
@@ -31,12 +31,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Forest, components, cut, runs, sieve, text_or_empty, tune
+from .base import Forest, components, cut, lookup, runs, sieve, text_or_empty, tune
 
 REGISTERS, MANTISSA = 128, 10
 BANDS, ROWS = 40, 6
 MARGIN = 4.0
 BLOCK = 1024
+SHINGLES = 1 << 23  # of a block: their hashes take 64 MB
 PASSES = 2
 _SHIFT = np.uint64(57)
 _REST = np.uint64((1 << 57) - 1)
@@ -169,20 +170,13 @@ def _sketch(width: int):
     def run(batches):
         words = Words()
         for batch in batches:
-            n, high, low, bands = [], [], [], []
+            n, digests, bands = [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(text, width, words)
                 n.append(len(s))
-                if len(s):
-                    digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                    high.append(int.from_bytes(digest[:8], "big", signed=True))
-                    low.append(int.from_bytes(digest[8:], "big", signed=True))
-                    bands.append(band_keys(*registers(s)))
-                else:
-                    high.append(None)
-                    low.append(None)
-                    bands.append(None)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "set_high", "set_low", "bands"])
+                digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                bands.append(band_keys(*registers(s)) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "digest", "bands"])
 
     return run
 
@@ -217,44 +211,46 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: i
     spark = docs.sparkSession
     tune(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
-    sketch = cut(texts.mapInArrow(_sketch(width), "doc_id long, n_shingles long, set_high long, set_low long, bands array<long>"))
+    sketch = cut(texts.mapInArrow(_sketch(width), "doc_id long, n_shingles long, digest binary, bands array<long>"))
     held = sketch.where("n_shingles > 0 and doc_id is not null")
-    reps = held.groupBy("set_high", "set_low").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
+    reps = held.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("n_shingles").alias("shingles"))
     keyed = reps.select("rep", F.explode("bands").alias("key")).repartition("key")  # one exchange serves the aggregate and the join
-    least = keyed.groupBy("key").agg(F.min("rep").alias("u"), F.max("rep").alias("last")).where("u < last")
-    stars = keyed.join(least, "key").where("rep <> u").select(F.col("rep").alias("v"), "u")
+    least = keyed.groupBy("key").agg(F.min("rep").alias("u"), F.max("rep").alias("last"), F.count("*").alias("n")).where("u < last").drop("last")
+    stars = lookup(keyed, cut(least), "key").where("rep <> u").select(F.col("rep").alias("v"), "u")
     clusters = components(stars).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
-    clusters = cut(clusters)
-    sized = clusters.groupBy("cluster").agg(F.count("*").alias("n"))
-    members = clusters.join(sized, "cluster")
+    clusters = cut(clusters.join(reps.groupBy("rep").agg(F.max("shingles").alias("shingles")), "rep"))
+    # a block holds at most about `block` classes and SHINGLES shingles, so a few long texts fill one too
+    sized = cut(clusters.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("shingles").alias("shingles")).select("cluster", "n", F.ceil(F.greatest(F.col("n") / block, F.col("shingles") / SHINGLES)).alias("blocks")))
+    lean = cut(lookup(clusters.select("rep", "cluster"), sized, "cluster"))
     whole = sieve(clusters.select(F.col("rep").alias("id")))(texts.withColumnRenamed("doc_id", "rep"), "rep")  # other texts are not shuffled
-    with_text = members.join(whole, "rep")
-    links = _verified(with_text.select("rep", "text", "cluster", F.pmod(F.xxhash64("rep", F.lit(0)), F.ceil(F.col("n") / block)).alias("part"), F.col("rep").alias("component")), ["cluster", "part"], width, percent)
-    large = sized.where(F.col("n") > block)
-    if large.limit(1).count():
-        big = cut(with_text.where(F.col("n") > block))
+    links = _verified(lean.select("rep", "cluster", F.pmod(F.xxhash64("rep", F.lit(0)), F.col("blocks")).alias("part"), F.col("rep").alias("component")).join(whole, "rep"), ["cluster", "part"], width, percent)
+    if sized.where("blocks > 1").limit(1).count():
+        lean = lean.where("blocks > 1")
+        whole = cut(lean.select("rep").join(whole, "rep"))
         for k in range(1, PASSES + 1):
-            state = big.join(components(links).withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+            state = lean.join(components(links).withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
             if k < PASSES:
-                more = _verified(state.select("rep", "text", "cluster", F.pmod(F.xxhash64("rep", F.lit(k)), F.ceil(F.col("n") / block)).alias("part"), "component"), ["cluster", "part"], width, percent)
+                more = _verified(state.select("rep", "cluster", F.pmod(F.xxhash64("rep", F.lit(k)), F.col("blocks")).alias("part"), "component").join(whole, "rep"), ["cluster", "part"], width, percent)
             else:
+                state = cut(state)
                 sizes = state.groupBy("cluster", "component").agg(F.count("*").alias("m"))
-                main = sizes.groupBy("cluster").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
-                rest = sizes.join(main, "cluster").where("component <> main").groupBy("cluster").agg(F.sum("m").alias("rest"))
-                state = state.join(main, "cluster").join(rest, "cluster")
-                half = block // 2
-                parts = F.ceil(F.col("n") / half).cast("int")
-                own = state.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(k)), parts).cast("int"))
-                loose = F.ceil(F.col("rest") / half).cast("int")
-                one = own.where("component <> main").withColumn("loose", F.pmod(F.xxhash64("rep", F.lit(k + 1)), loose).cast("int")).select("rep", "text", "cluster", "component", "loose", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("side"))
-                other = own.select("rep", "text", "cluster", "component", F.explode(F.sequence(F.lit(0), loose - 1)).alias("loose"), "part", F.lit(1).alias("side"))
+                main = sizes.groupBy("cluster").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.max("m").alias("of_main"), F.sum("m").alias("n"))
+                state = lookup(state, cut(main), "cluster")  # the texts come later: a hot cluster's rows are lean here
+                parts = (F.col("blocks") * 2).cast("int")
+                rest = F.col("of_cluster") - F.col("of_main")
+                state = lookup(state, cut(state.groupBy("cluster").agg(F.count("*").alias("n")).withColumn("of_cluster", F.col("n"))), "cluster")
+                state = state.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(k)), parts).cast("int")).withColumn("parts", parts).withColumn("pieces", F.greatest(F.lit(1), F.ceil(parts * rest / F.col("of_cluster"))).cast("int"))
+                own = state.where("of_main < of_cluster").select("rep", "cluster", "component", "part", "parts", "pieces", (F.col("component") != F.col("main")).alias("loose_one")).join(whole, "rep")
+                one = own.where("loose_one").withColumn("loose", F.pmod(F.xxhash64("rep", F.lit(k + 1)), F.col("pieces")).cast("int")).select("rep", "text", "cluster", "component", "loose", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"))
+                other = own.select("rep", "text", "cluster", "component", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("loose"), "part", F.lit(1).alias("side"))
                 more = _verified(one.unionByName(other), ["cluster", "part", "loose"], width, percent)
             links = cut(links.unionByName(more))
     joined = components(links).select(F.col("node").alias("rep"), F.col("component").alias("component_id"))
-    classes = held.groupBy("set_high", "set_low").agg(F.min("doc_id").alias("rep")).join(joined, "rep", "left").select("set_high", "set_low", F.coalesce("component_id", "rep").alias("component_id"))
-    found = sketch.select("doc_id", "n_shingles", "set_high", "set_low").join(classes, ["set_high", "set_low"], "left")
-    component = F.coalesce("component_id", "doc_id")
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    classes = held.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).join(joined, "rep", "left").select("digest", "n", F.coalesce("component_id", "rep").alias("component_id"))
+    # documents without words, or without an id, are their own component and take no part in the join
+    found = lookup(held.select("doc_id", "n_shingles", "digest"), cut(classes), "digest").select("doc_id", "n_shingles", "component_id")
+    found = found.unionByName(sketch.where("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
