@@ -8,6 +8,7 @@
    so |u.v - (s q).(t p)| <= e_u + e_v + e_u e_v.  The integer products run as float32 matrix products, exact below 2**24 (DIMENSIONS bounds them).
    Most pairs need only a product of their heads: the first quarter of the components and the norm of the rest, which bounds u.v by Cauchy-Schwarz.
    Pairs surely above the threshold count as links, pairs possibly above are recomputed in double precision.
+   The SIZES most common lengths of vectors get pivots; all other lengths together are dealt to blocks of their own length in one pass.
 4. A tile returns, per class, its number of linked vectors and a parent in the tile's spanning forest: no pairs.  Components
    of these forests give the groups.
 
@@ -22,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Forest, components, cut, runs, tune
+from .base import Forest, components, cut, lookup, runs, tune
 
 PIVOTS = 192
 BLOCK = 8192
 STRIP = 256  # rows multiplied at once
-SIZES = 1000  # different lengths of vectors; more are an error, since each is compared by itself
+SIZES = 8  # lengths of vectors, the most common ones, that get pivots; vectors of other lengths are compared block by block
 DIMENSIONS = 1024  # 1024 * 127 * 127 < 2**24
 HEAD = 256  # components of a head at most
 MANY = 64  # a strip is multiplied whole if over one pair in so many may be linked by its heads
@@ -161,10 +162,24 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, pivots: int = PIVO
     classes = good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
     classes = cut(classes.withColumn("size", F.size("embedding")))
     sums, edges = [], []
-    sizes = [r[0] for r in classes.select("size").distinct().limit(SIZES + 1).collect()]
-    if len(sizes) > SIZES:
-        raise ValueError(f"vectors of over {SIZES} lengths")
-    for size in sorted(sizes):
+    keys = ["c1", "b1", "c2", "b2"]
+
+    def compare(both: DataFrame) -> None:
+        made = cut(both.repartition(*keys).sortWithinPartitions(*keys, "side", "rep").mapInArrow(_tiles(threshold), "rep long, links long, parent long"))
+        sums.append(made.groupBy("rep").agg(F.sum("links").alias("links")))
+        edges.append(made.where("rep <> parent").select(F.col("rep").alias("u"), F.col("parent").alias("v")))
+
+    by_size = cut(classes.groupBy("size").agg(F.count("*").alias("n_of_size")))
+    common = [r["size"] for r in by_size.orderBy(F.desc("n_of_size"), "size").limit(SIZES).collect()]
+    rest = by_size.where(~F.col("size").isin(common))
+    if rest.limit(1).count():
+        blocked = classes.join(rest, "size").withColumn("blocks", F.ceil(F.col("n_of_size") / block).cast("int")).withColumn("b", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        place = (-F.col("size") - 1).cast("int")
+        lists = lambda c: F.when(F.col("b") > 0, F.sequence(F.lit(0), F.col("b") - 1)).otherwise(F.array().cast("array<int>")) if c else F.sequence(F.col("b"), F.col("blocks") - 1)
+        left = blocked.select("rep", "n", "embedding", place.alias("c1"), F.col("b").alias("b1"), place.alias("c2"), F.explode(lists(0)).alias("b2"), F.lit(0).alias("side"))
+        right = blocked.select("rep", "n", "embedding", place.alias("c1"), F.explode(lists(1)).alias("b1"), place.alias("c2"), F.col("b").alias("b2"), F.lit(1).alias("side"))
+        compare(left.unionByName(right))
+    for size in sorted(common):
         own = classes.where(F.col("size") == size)
         few = own.orderBy(F.xxhash64("rep"), "rep").limit(pivots).select("embedding").collect()
         centre = unit(np.array([r[0] for r in few], dtype=np.float64))
@@ -187,18 +202,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, pivots: int = PIVO
         left = left.select("rep", "n", "embedding", "c1", "b1", "c2", F.explode(F.when(F.col("c1") == F.col("c2"), F.sequence(F.col("b1"), F.col("n2") - 1)).otherwise(F.sequence(F.lit(0), F.col("n2") - 1))).alias("b2"), F.lit(0).alias("side"))
         right = dealt.join(pairs, F.col("area") == F.col("c2")).withColumn("b2", F.pmod(F.xxhash64("rep"), F.col("n2")).cast("int"))
         right = right.select("rep", "n", "embedding", "c1", F.explode(F.when(F.col("c1") == F.col("c2"), F.when(F.col("b2") > 0, F.sequence(F.lit(0), F.col("b2") - 1)).otherwise(F.array().cast("array<int>"))).otherwise(F.sequence(F.lit(0), F.col("n1") - 1))).alias("b1"), "c2", "b2", F.lit(1).alias("side"))
-        keys = ["c1", "b1", "c2", "b2"]
-        both = left.unionByName(right).repartition(*keys).sortWithinPartitions(*keys, "side", "rep")
-        made = cut(both.mapInArrow(_tiles(threshold), "rep long, links long, parent long"))
-        sums.append(made.groupBy("rep").agg(F.sum("links").alias("links")))
-        edges.append(made.where("rep <> parent").select(F.col("rep").alias("u"), F.col("parent").alias("v")))
+        compare(left.unionByName(right))
     if not sums:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     total, links = sums[0], edges[0]
     for a, b in zip(sums[1:], edges[1:], strict=True):
         total, links = total.unionByName(a), links.unionByName(b)
     group = components(links).select(F.col("node").alias("rep"), "component")
-    per_class = classes.join(total, "rep", "left").join(group, "rep", "left").select(F.col("embedding").alias("e"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    found = rows.join(per_class, fine & (F.col("embedding") == F.col("e")) & F.col("vec_id").isNotNull(), "left")
-    component = F.coalesce("component_id", "vec_id")
-    return found.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    per_class = classes.join(total, "rep", "left").join(group, "rep", "left").select("embedding", "n", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    found = lookup(good, cut(per_class), "embedding").select("vec_id", "n_links", "component_id")
+    found = found.unionByName(rows.where(~fine | F.col("vec_id").isNull()).select("vec_id", F.lit(0).alias("n_links"), F.col("vec_id").alias("component_id")))
+    return found.select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))
