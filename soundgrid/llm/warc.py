@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import cut, scratch, sieve, text_or_empty, tune
+from .base import cut, lookup, scratch, sieve, text_or_empty, tune
 
 MAGIC = "WARC/1.1\r\n"
 SMALLEST = 100
@@ -36,8 +36,8 @@ def write_archive(pages: DataFrame, folder: str, key: str = "page_id", url: str
     firsts = rows.where(F.col("size") >= SMALLEST).groupBy(F.col("digest").alias("of")).agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
     firsts = cut(firsts)
     keep = sieve(firsts.select(F.col("of").alias("id")))  # payloads that surely occur once are not shuffled
-    alone = keep(rows, "digest", among=False).select("*", F.lit(None).cast("string").alias("of"), F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("n"))
-    known = alone.unionByName(keep(rows, "digest").join(firsts, F.col("digest") == F.col("of"), "left"))
+    alone = keep(rows, "digest", among=False).select("*", F.lit(None).cast("long").alias("first"))
+    known = alone.unionByName(lookup(keep(rows, "digest"), firsts.withColumnRenamed("of", "digest"), "digest", how="left"))  # bodies of a hot payload spread evenly
     again = F.coalesce((F.col("first") != F.col("id")) | (F.col("first").isNotNull() & F.col("id").isNull()), F.lit(False))
     field = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     head = F.concat(
@@ -128,17 +128,20 @@ def read_archive(spark, folder: str) -> DataFrame:
     records = candidates.join(true, ["file", "at"])
     whole = records.where("digest is not null").select("file", "at", "headers", "content", "digest")
     broken = records.where("digest is null").select("file", "at", "next", "headers", "content", "head")
-    held = placed.where("raw is not null and at >= 0").select("file", "at", "raw")
+    held = placed.where("raw is not null and at >= 0").select("file", "block", "at", "raw")
     false = candidates.where("digest is not null").join(true, ["file", "at"], "left_anti")
     if false.limit(1).count():  # a whole record in a payload: the bytes of its part are read again
         again = parts.mapInArrow(_candidates(True), CANDIDATE_SCHEMA).join(base, ["file", "block"]).withColumn("at", F.col("base") + F.col("at") - len(MAGIC))
-        held = cut(held.unionByName(again.select("file", "at", "raw").join(false.select("file", "at"), ["file", "at"], "left_semi")))
-    rest = held.select(F.col("file").alias("f"), F.col("at").alias("o"), "raw")
-    # a version line in a payload has split it: its parts are found again by the record they lie in
-    starts = held.select("file", "at").join(broken.select("file", "at", F.lit(True).alias("first")), ["file", "at"], "left")
-    owner = starts.select("file", "at", F.last(F.when(F.col("first"), F.col("at")), ignorenulls=True).over(Window.partitionBy("file").orderBy("at")).alias("owner"))
-    pieces = rest.join(owner, (F.col("f") == F.col("file")) & (F.col("o") == F.col("at"))).where("owner is not null").groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("o", "raw"))).alias("raw"))
-    text = F.aggregate("raw", F.lit(b""), lambda s, x: F.when(F.length(s) == 0, x["raw"]).otherwise(F.concat(s, F.lit(MAGIC.encode()), x["raw"])))
+        held = cut(held.unionByName(again.select("file", "block", "at", "raw").join(false.select("file", "at"), ["file", "at"], "left_semi")))
+    # a version line in a payload has split it: its parts are found again by the record they lie in, the last that starts before them.  That is looked
+    # for within a split of the file, and beyond it in the splits' last starts, so no file is one task
+    starts = held.select("file", "block", "at").join(broken.select("file", "at", F.col("at").alias("start")), ["file", "at"], "left")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = starts.groupBy("file", "block").agg(F.max("start").alias("last")).select("file", "block", F.max("last").over(before).alias("carried"))
+    owner = starts.select("file", "block", "at", F.max("start").over(Window.partitionBy("file", "block").orderBy("at")).alias("near"))
+    owner = owner.join(carried, ["file", "block"]).select("file", "at", F.coalesce("near", "carried").alias("owner")).where("owner is not null")
+    pieces = held.select("file", "at", "raw").join(owner, ["file", "at"]).groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("at", "raw"))).alias("raw"))
+    text = F.concat_ws(MAGIC, F.transform("raw", lambda x: x["raw"].cast("string"))).cast("binary")  # bytes as they are, joined in one pass
     joined = broken.join(pieces.select("file", F.col("owner").alias("at"), text.alias("raw")), ["file", "at"])
     mended = joined.select("file", "at", "headers", "content", F.sha2(F.expr("substring(raw, cast(head + 1 as int), cast(content as int))"), 256).alias("digest"))
     return whole.unionByName(mended)
