@@ -410,6 +410,34 @@ def test_components_of_a_path_and_a_star(spark):
     assert set(got) == {*range(100, 161), *range(7, 60)} and {got[k] for k in range(100, 161)} == {100} and {got[k] for k in range(7, 60)} == {7}
 
 
+def test_hot_keys_are_looked_up_alike(spark, monkeypatch):
+    monkeypatch.setattr(base, "HOT", 5)
+    left = spark.range(200).selectExpr("if(id < 120, 1, id % 40) as k", "id as x")
+    right = base.cut(left.groupBy("k").agg(F.count("*").alias("n"), F.max("x").alias("top")).where("k <> 7"))
+    for how in ("inner", "left"):
+        want = left.join(right.drop("n"), "k", how)
+        got = base.lookup(left, right, "k", how=how)
+        assert got.columns == ["k", "x", "top"] and sorted(map(str, got.collect())) == sorted(map(str, want.select("k", "x", "top").collect()))
+    edges = [(k, k + 1) for k in range(100, 130)] + [(7, k) for k in range(8, 60)]
+    got = {r["node"]: r["component"] for r in base.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert {got[k] for k in range(100, 131)} == {100} and {got[k] for k in range(7, 60)} == {7}
+
+
+def test_vectors_of_many_lengths(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "SIZES", 2)
+    r = np.random.default_rng(9)
+    rows, want = [], {}
+    for size in range(1, 40):
+        x = r.normal(size=(4, size))
+        x = np.concatenate([x, x[:2] + 0.01 * r.normal(size=(2, size))])
+        u = embeddings.unit(x)
+        for k, n in enumerate((u @ u.T >= 0.95).sum(axis=1) - 1):
+            rows.append((len(rows), [float(v) for v in x[k]]))
+            want[len(rows) - 1] = n
+    got = {v["vec_id"]: v["n_links"] for v in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 0.95, block=3).collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize(("pivots", "block"), [(192, 8192), (8, 40)])
 def test_near_vectors_match_brute_force(spark, pivots, block):
     r = np.random.default_rng(6)
