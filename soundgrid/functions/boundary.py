@@ -69,16 +69,17 @@ def geographic(x: Column, y: Column) -> Column:
 
 
 def _order(code: Column, corners: Column) -> Column:
-    """How far the corners are turned so that the first is the north-west one on the ellipsoid."""
+    """How far the corners are turned so that the first is the north-west one on the ellipsoid.
+
+    Around a pole the map turns by a quarter from each cap triangle to the next.  A skew quad lies in one of them, off its diagonals: the one its
+    centre's angle about the pole falls in, counted from the triangle below the pole in the map of the north.  A dart's first corner is fixed by its cap.
+    """
     face, shape = F.substring(code, 1, 1), dggs.rhealpix_shape(code)
-    far = [F.abs(corners[k]["y"]) for k in range(4)]
-    x, y = (corners[0]["x"] + corners[2]["x"]) / (2 * dggs.RADIUS) + 3 * PI / 4, (corners[0]["y"] + corners[2]["y"]) / (2 * dggs.RADIUS)
-    up = F.abs(y) - PI / 2  # height over the pole, read in the north
-    top = F.when((far[0] >= far[1]) & (far[0] >= far[2]) & (far[0] >= far[3]), 0).when((far[1] >= far[2]) & (far[1] >= far[3]), 1).when(far[2] >= far[3], 2).otherwise(3)
-    quarter = F.when((up < x - 1e-15) & (up >= -x - 1e-15), 1).when((up >= x - 1e-15) & (up > -x + 1e-15), 2).when((up > x + 1e-15) & (up <= -x + 1e-15), 3).otherwise(0)
-    dart = F.pmod(F.when(face == "S", top + 1).otherwise(top), F.lit(4))
-    skew = F.pmod(F.when(face == "N", -quarter).otherwise(quarter), F.lit(4))
-    return F.when(shape <= 1, 0).when(shape == 2, dart).otherwise(skew)
+    right = (corners[0]["x"] + corners[2]["x"]) / (2 * dggs.RADIUS) + 3 * PI / 4
+    below = PI / 2 - F.abs((corners[0]["y"] + corners[2]["y"]) / (2 * dggs.RADIUS))
+    turns = F.floor(F.atan2(right, below) / (PI / 2) + 0.5)
+    skew = F.pmod(F.when(face == "N", -turns).otherwise(turns), F.lit(4))
+    return F.when(shape <= 1, 0).when(shape == 2, F.when(face == "S", 3).otherwise(0)).otherwise(skew).cast("int")
 
 
 def cell_boundary(code: Column, planar: bool = False, trim_dart: bool = True, decimals: int | None = 11) -> Column:

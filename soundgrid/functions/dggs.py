@@ -10,6 +10,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from soundgrid.shared import unclashing
+
 # fixed values: WGS84
 A = 6378137.0
 FLATTENING = 1 / 298.257223563
@@ -72,9 +74,10 @@ def with_cell(df: DataFrame, lon: str = "X", lat: str = "Y", resolution: int = M
     The code is computed in a projection of its own under a one-element explode: later filters on the code (and those that
     joins infer) stay above it and do not compute it again, while filters on other columns still reach the scan.
     """
+    unclashing(df, "sg_code")
     names = [c for c in df.columns if c != name]
-    made = df.withColumn("dggs__code", rhealpix_encode(F.col(lon), F.col(lat), resolution))
-    return made.select(*(f"`{c}`" for c in names), F.explode_outer(F.array("dggs__code")).alias(name))
+    made = df.withColumn("sg_code", rhealpix_encode(F.col(lon), F.col(lat), resolution))
+    return made.select(*(f"`{c}`" for c in names), F.explode_outer(F.array("sg_code")).alias(name))
 
 
 def rhealpix_parent(code: Column, resolution: int) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from soundgrid.shared import unclashing
+
 PARTIAL = ["minimum", "maximum", "count", "total", "mu2_prime", "mu3_prime", "mu4_prime"]
 FINAL = ["minimum", "maximum", "count", "total", "mean", "variance", "stddev", "skewness", "kurtosis"]
 
@@ -79,33 +81,56 @@ def gather_statistics(*tables: DataFrame) -> DataFrame:
     """Rows of several results; of an attribute that several have, that of the last."""
     out = None
     for k, t in enumerate(tables):
-        t = t.withColumn("place", F.lit(k))
+        unclashing(t, "sg_place")
+        t = t.withColumn("sg_place", F.lit(k))
         out = t if out is None else out.unionByName(t)
-    names = [c for c in out.columns if c not in ("attribute", "place")]
-    return out.groupBy("attribute").agg(F.max_by(F.struct(*names), "place").alias("s")).select("attribute", "s.*")
+    names = [c for c in out.columns if c not in ("attribute", "sg_place")]
+    return out.groupBy("attribute").agg(F.max_by(F.struct(*names), "sg_place").alias("sg_row")).select("attribute", "sg_row.*")
 
 
 #: Cells sent to all executors; above it the join is left to a shuffle on the code.
 BROADCAST_CELLS = 100_000
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """Broadcast up to BROADCAST_CELLS rows, counted."""
+    return F.broadcast(df) if df.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS else df
+
+
 def cell_statistics(points: DataFrame, cells: DataFrame, columns: list[str], mode: str = "exact") -> DataFrame:
     """Partials of the points in some cells.
 
     exact: points whose code is one of `cells.region_code` (all of one resolution); each once.  bbox: points in the longitude and latitude boxes of the
-    cells (columns min_x..max_y); a point in k boxes counts k times.  The boxes are then joined by the unit squares they cover, not as a nested loop.
+    cells (columns min_x..max_y); a point in k boxes counts k times.  The boxes are then joined by squares of about their size, not as a nested loop.
     """
-    n = cells.limit(BROADCAST_CELLS + 1).count()
-    small = (lambda d: F.broadcast(d)) if n <= BROADCAST_CELLS else (lambda d: d)
     if mode == "exact":
-        return partial_statistics(points.join(small(cells.select("region_code").distinct()), "region_code", "left_semi"), columns)
+        return partial_statistics(points.join(_small(cells.select("region_code").distinct()), "region_code", "left_semi"), columns)
     return partial_statistics(bbox_join(points, cells), columns)
 
 
-def bbox_join(points: DataFrame, boxes: DataFrame, size: float = 10.0) -> DataFrame:
-    """Points with each box that holds them, edges included (box columns min_x, max_x, min_y, max_y): an equi-join on grid squares of `size`, then the exact test."""
-    grid = lambda c: F.floor(c / size)
-    covered = boxes.withColumn("gx", F.explode(F.sequence(grid(F.col("min_x")), grid(F.col("max_x"))))).withColumn("gy", F.explode(F.sequence(grid(F.col("min_y")), grid(F.col("max_y")))))
-    placed = points.withColumns({"gx": grid(F.col("X")), "gy": grid(F.col("Y"))})
+LEVELS = (-24, 9)  # squares of 2**-24 to 2**9 degrees
+
+
+def bbox_candidates(points: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Points with each box that covers part of their square: squares are as large as the box (the next power of two), so a box covers at most three by three of them,
+    however small or clustered boxes are.  A point is looked up once for each size that occurs, at most LEVELS."""
+    unclashing(points, "sg_level", "sg_x", "sg_y")
+    unclashing(boxes, "sg_level", "sg_x", "sg_y")
+    proper = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in ("min_x", "max_x", "min_y", "max_y")]
+    extent = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"), F.lit(2.0 ** LEVELS[0]))
+    grid = lambda c: F.floor(c / F.pow(F.lit(2.0), F.col("sg_level")))
+    sized = boxes.where(proper[0] & proper[1] & proper[2] & proper[3]).where("min_x <= max_x and min_y <= max_y").withColumn("sg_level", F.least(F.lit(LEVELS[1]), F.ceil(F.log2(extent))).cast("int"))
+    levels = sorted(r[0] for r in sized.select("sg_level").distinct().collect())
+    covered = sized.withColumn("sg_x", F.explode(F.sequence(grid(F.col("min_x")), grid(F.col("max_x"))))).withColumn("sg_y", F.explode(F.sequence(grid(F.col("min_y")), grid(F.col("max_y")))))
+    known = lambda c: F.abs(F.col(c).cast("double")) < 1e6  # noqa: E731  (neither null nor NaN)
+    level = F.explode(F.array(*map(F.lit, levels))) if len(levels) > 1 else F.lit(levels[0] if levels else 0)
+    placed = points.where(known("X") & known("Y")).withColumn("sg_level", level).withColumns({"sg_x": grid(F.col("X")), "sg_y": grid(F.col("Y"))})
+    return placed.join(_small(covered), ["sg_level", "sg_x", "sg_y"]).drop("sg_level", "sg_x", "sg_y")
+
+
+def bbox_join(points: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Points with each box that holds them, edges included (box columns min_x, max_x, min_y, max_y): an equi-join on squares, then the exact test.
+
+    Points without a position, and boxes without bounds or with bounds in the wrong order, meet nothing."""
     inside = F.col("X").between(F.col("min_x"), F.col("max_x")) & F.col("Y").between(F.col("min_y"), F.col("max_y"))
-    return placed.join(covered, ["gx", "gy"]).where(inside).drop("gx", "gy")
+    return bbox_candidates(points, boxes).where(inside)

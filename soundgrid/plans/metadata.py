@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,10 +22,16 @@ def entered_rows(rows: DataFrame) -> DataFrame:
 
 
 def clean_fields(rows: DataFrame) -> DataFrame:
-    """sheet, field, values (array of text in sheet order), when (timestamp of a datetime field)."""
-    name = standardise_name(F.col("field"))
-    made = rows.withColumn("name", F.when(F.contains(name, F.lit("keyword")), "keywords").otherwise(name)).withColumn("parts", F.when(F.contains(name, F.lit("keyword")), split_keywords(F.col("value"))).otherwise(F.array(drop_example(F.col("value")))))
-    grouped = made.groupBy(standardise_name(F.col("sheet")).alias("sheet"), F.col("name").alias("field")).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("position", "parts"))), lambda s: s["parts"])).alias("values"))
+    """sheet, field, values (array of text in sheet order), when (timestamp of a datetime field).
+
+    Values of rows with the same field as written are put together.  A field that names keywords is `keywords`, its values split at commas; of another
+    field's name an example (up to an ellipsis) goes.  Fields that then have one name keep the values of the one that comes last in the sheet.
+    """
+    keyword = F.contains(F.lower("field"), F.lit("keyword"))
+    name = F.when(keyword, "keywords").otherwise(standardise_name(drop_example(F.col("field"))))
+    parts = F.when(keyword, split_keywords(F.col("value"))).otherwise(F.array("value"))
+    written = rows.groupBy(standardise_name(F.col("sheet")).alias("sheet"), name.alias("name"), "field").agg(F.min("position").alias("first"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("position", parts.alias("parts")))), lambda s: s["parts"])).alias("values"))
+    grouped = written.groupBy("sheet", F.col("name").alias("field")).agg(F.max_by("values", "first").alias("values"))
     return grouped.withColumn("when", F.when(F.contains(F.col("field"), F.lit("datetime")), parse_when(F.col("values")[0])))
 
 
@@ -36,6 +44,27 @@ def harvest_map(fields: DataFrame) -> Column:
     return F.map_from_entries(F.collect_list(F.struct("sheet", "fields")))
 
 
+def crs_column(df: DataFrame, crs: dict[str, str], column: str = "X") -> DataFrame:
+    """`df` whose reference systems are kept in the metadata of a column, which Parquet tables carry; a later call overrides them.  The default is EPSG:4326."""
+    return df.withMetadata(column, {"crs_info": json.dumps(crs)})
+
+
+DEFAULT_CRS = {"horizontal_datum": "epsg:4326"}
+
+
+def crs_info(df: DataFrame, column: str = "X") -> dict[str, str]:
+    """Reference systems of a table as `crs_column` left them."""
+    found = df.schema[column].metadata.get("crs_info")
+    return json.loads(found) if found else dict(DEFAULT_CRS)
+
+
+def table_info(df: DataFrame) -> DataFrame:
+    """One row: points, bounds, dimensions and reference systems of a point table, in one scan."""
+    fine = lambda c: F.nanvl(F.col(c), F.lit(None))
+    bounds = [f(fine(c)).alias(f"{n}_{c.lower()}") for n, f in (("min", F.min), ("max", F.max)) for c in ("X", "Y", "Z") if c in df.columns]
+    return df.agg(F.count("*").alias("num_points"), *bounds).withColumns({"dimensions": F.lit(", ".join(df.columns)), "crs": F.lit(json.dumps(crs_info(df)))})
+
+
 def describe_schema(schema: T.StructType) -> list[dict]:
     """name, size and type of each dimension and attribute."""
     kinds = {T.DoubleType: (8, "floating"), T.FloatType: (4, "floating"), T.LongType: (8, "signed"), T.IntegerType: (4, "signed"), T.ShortType: (2, "signed"), T.ByteType: (1, "signed")}

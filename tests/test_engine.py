@@ -110,25 +110,109 @@ def test_bbox_counts_twice_and_exact_once(spark):
     assert workflows.dataset_statistics(pts, cells.union(spark.createDataFrame([("Q",)])), ["Z"], mode="bbox").first()["count"] == 4
 
 
-def area(ring):
-    return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1], strict=True)) / 2
-
-
-def test_dissolve_rings(spark):
-    cells = spark.createDataFrame([("Q00",), ("Q01",), ("Q10",), ("Q08",)], "region_code string")
-    edges = coverage.boundary_edges(cells).toPandas()
-    rings = coverage.stitch(edges)
-    assert sum(abs(area(r)) for r in rings) == 4 and len(edges) == 14
-    assert coverage.dissolve(cells, 2, parent=0).count() == 3
-
+def filled(polygon, size):
+    """Lattice cells inside a polygon with holes, by the even-odd rule; its rings' areas add up to their number."""
+    rings = [[(p["x"], p["y"]) for p in r] for r in (polygon["outer"], *polygon["holes"])]
+    inside = {(c, r) for c in range(size) for r in range(size) if sum(1 for ring in rings for (x, y1), (_, y2) in zip(ring, ring[1:] + ring[:1], strict=True) if x <= c and min(y1, y2) <= r < max(y1, y2)) % 2}
+    turns = [sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:] + r[:1], strict=True)) / 2 for r in rings]
+    assert turns[0] > 0 and all(t < 0 for t in turns[1:]) and sum(turns) == len(inside) == polygon["area"]
+    assert all((a[0] == b[0]) != (b[0] == c[0]) for r in rings for a, b, c in zip(r, r[1:] + r[:1], r[2:] + r[:2], strict=True))  # it turns at every corner
+    return inside
+
+
+def parts_of(cells):
+    """4-connected components."""
+    left, out = set(cells), []
+    while left:
+        todo, part = [left.pop()], set()
+        while todo:
+            c, r = todo.pop()
+            part.add((c, r))
+            for n in ((c + 1, r), (c - 1, r), (c, r + 1), (c, r - 1)):
+                if n in left:
+                    left.remove(n)
+                    todo.append(n)
+        out.append(part)
+    return sorted(map(sorted, out))
+
+
+def code_of(face, c, r, resolution):
+    return face + "".join(str(r // 3**k % 3 * 3 + c // 3**k % 3) for k in reversed(range(resolution)))
+
+
+RINGED = {(c, r) for c in range(9) for r in range(9)} - {(1, 1), (1, 3), (3, 3), (3, 4), (4, 4), (6, 6), (7, 7), (7, 1)}
+NESTED = {(c, r) for c in range(9) for r in range(9) if max(abs(c - 4), abs(r - 4)) in (4, 2, 0)}
+
+
+@pytest.mark.parametrize("cells", [RINGED, NESTED, {(c, r) for c, r in np.random.default_rng(4).integers(0, 9, (45, 2)).tolist()}, {(2, 2)}], ids=["holes", "nested", "random", "one"])
+def test_dissolved_polygons(spark, cells):
+    df = spark.createDataFrame([(code_of("N", c, r, 2),) for c, r in cells], "region_code string")
+    got = coverage.polygons(df, 2).collect()
+    assert sorted(sorted(filled(p, 9)) for p in got) == parts_of(cells)
+
+
+def test_dissolve_over_tiles_and_faces(spark):
+    cells = spark.createDataFrame([("O2",), ("O5",), ("P0",), ("P3",), ("S4",), ("S5",)], "region_code string")
+    got = {r["face"]: r for r in coverage.dissolve(cells, 1).collect()}
+    assert {f: r["area"] for f, r in got.items()} == {"E": 4, "S": 2} and len(got["E"]["outer"]) == 4 and not got["E"]["holes"]
+    assert {round(v["x"]) for v in got["E"]["outer"]} == {-120, -60}
+    shape = coverage.multipolygon(coverage.dissolve(cells, 1)).first()["geometry"]
+    import json
 
-@settings(max_examples=40, deadline=None)
-@given(st.sets(st.tuples(st.integers(0, 4), st.integers(0, 4)), min_size=1))
-def test_stitch_keeps_area(cells):
-    edges = [e for c, r in cells for e in ((c, r, c + 1, r), (c + 1, r, c + 1, r + 1), (c + 1, r + 1, c, r + 1), (c, r + 1, c, r))]
-    alone = [e for e in edges if (e[2], e[3], e[0], e[1]) not in edges]
-    rings = coverage.stitch(pd.DataFrame(alone, columns=["x1", "y1", "x2", "y2"]))
-    assert sum(area(r) for r in rings) == len(cells)
+    made = json.loads(shape)
+    assert made["type"] == "MultiPolygon" and len(made["coordinates"]) == 2 and made["coordinates"][0][0][0] == made["coordinates"][0][0][-1]
+
+
+def test_hexagon_outline(spark):
+    bins = spark.createDataFrame([(0, 0, 5), (1, 0, 1), (5, 5, 1)], "q long, r long, count long")
+    sides = coverage.hexbin_outline(bins, 2.0).toPandas()
+    assert len(sides) == 10 + 6 and np.allclose(np.hypot(sides.x2 - sides.x1, sides.y2 - sides.y1), 2.0)
+    ends = [(x, y) for r in sides.itertuples() for x, y in ((r.x1, r.y1), (r.x2, r.y2))]
+    assert all(ends.count(e) == 2 for e in ends)  # closed, with equal ends
+    assert math.isclose(sum(r.x1 * r.y2 - r.x2 * r.y1 for r in sides.itertuples()) / 2, 3 * 3**1.5 / 2 * 4)
+    assert coverage.hexbin_outline(bins, 2.0, least=2).count() == 6
+    odd = spark.createDataFrame([(float("nan"), 1.0), (None, 1.0), (float("inf"), 0.0), (0.1, 0.1)], "X double, Y double")
+    assert [tuple(r) for r in coverage.hexbin(odd, 1.0).collect()] == [(0, 0, 1)]
+
+
+def test_boxes_are_looked_up_in_squares_of_their_size(spark):
+    r = np.random.default_rng(8)
+    pts = spark.createDataFrame([(float(x), float(y)) for x, y in 147 + r.uniform(0, 0.02, (1000, 2))], "X double, Y double").withColumns({"gx": F.lit(7), "n": F.monotonically_increasing_id()})
+    corner = 147 + r.uniform(0, 0.02, (500, 2))
+    boxes = spark.createDataFrame([(k, float(x), float(x + 0.0005), float(y), float(y + 0.0004 * (1 + k % 3))) for k, (x, y) in enumerate(corner)], "box_id long, min_x double, max_x double, min_y double, max_y double")
+    p, b = pts.toPandas(), boxes.toPandas()
+    want = sum(((p.X >= x.min_x) & (p.X <= x.max_x) & (p.Y >= x.min_y) & (p.Y <= x.max_y)).sum() for x in b.itertuples())
+    got = stats.bbox_join(pts, boxes)
+    assert got.count() == want > 300 and "gx" in got.columns
+    assert stats.bbox_candidates(pts, boxes).count() < 12 * want
+    odd = pts.limit(1).select(F.lit(float("nan")).alias("X"), F.lit(1.0).alias("Y"))
+    assert stats.bbox_join(odd.union(odd.select(F.lit(None).cast("double"), "Y")), boxes.limit(1).withColumn("min_x", F.lit(-200.0))).count() == 0
+    with pytest.raises(ValueError, match="reserved"):
+        stats.bbox_join(pts.withColumn("sg_x", F.lit(1)), boxes)
+
+
+def test_global_ranks_without_a_global_window(spark):
+    df = spark.range(1003).select(((F.col("id") * 7919) % 1003).alias("k")).repartition(7)
+    ids = planning.row_offsets(df, ["k"])
+    assert ids.where("k <> row_id").count() == 0 and ids.count() == 1003
+    blocks = {r["block"]: r["n"] for r in planning.scatter(df, 14, ["k"]).groupBy("block").agg(F.count("*").alias("n")).collect()}
+    assert [blocks[k] for k in range(1, 15)] == [72] * 9 + [71] * 5
+    assert planning.lanes(df, ["k"], 40).where("lane <> k % 40").count() == 0
+    assert planning.scatter(df.limit(2), 4, ["k"]).agg(F.max("block")).first()[0] == 2 and planning.row_offsets(df.limit(0), ["k"]).count() == 0
+    plan = ids._jdf.queryExecution().executedPlan().toString()
+    assert "Window [row_number" not in plan and "ntile" not in plan
+
+
+def test_upsert_keeps_columns_and_null_keys(spark):
+    old = spark.createDataFrame([(1, "a", 30), (2, "b", 40), (None, "c", 50), (None, "d", 60)], "k long, v string, age int")
+    new = spark.createDataFrame([(2, "z", 1.5), (3, "y", 2.5)], "k long, v string, extra double")
+    got = {(r["k"], r["v"]): (r["age"], r["extra"]) for r in planning.upsert(old, new, ["k"]).collect()}
+    assert got == {(1, "a"): (30, None), (2, "z"): (None, 1.5), (3, "y"): (None, 2.5), (None, "c"): (50, None), (None, "d"): (60, None)}
+
+
+def test_splits_keep_unknown_files(spark):
+    files = spark.createDataFrame([("a", None, None), ("b", 9e9, 0)], "f string, size double, record_count int")
+    assert [x.count() for x in (*planning.split_empty(files), *planning.split_large(files, 1))] == [1, 1, 1, 1]
 
 
 def test_scatter_and_planning(spark):
