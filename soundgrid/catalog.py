@@ -181,16 +181,38 @@ def rhealpix_boundary_planar(spark, d):
     return c.select("region_code", F.round(F.col("ring")[0]["x"], 4).alias("ul_x"), F.round(F.col("ring")[0]["y"], 4).alias("ul_y"), F.round(F.col("ring")[1]["x"] - F.col("ring")[0]["x"], 4).alias("width"))
 
 
-# On equatorial faces a cell's box in longitude and latitude has a closed form: latitude by the authalic series.
-_LAT = lambda y: f"(asin({y}) + {boundary._S2!r}*sin(2*asin({y})) + {boundary._S4!r}*sin(4*asin({y})) + {boundary._S6!r}*sin(6*asin({y})))"
-_TOP, _LOW = (f"((0.5e0 - (m + {k}) / {3**RES}e0) / 0.75e0)" for k in (0, 1))
+# A cell's corners in longitude and latitude, by the inverse of the map in plain SQL: latitude by the authalic series.  On a cap a corner's quarter is
+# that of its angle about the pole; at the pole and at longitude 180 a box is closed as `cell_bbox` says.
+_SPAN = f"{3**RES}e0"
+_LAT = f"(beta + {boundary._S2!r}*sin(2*beta) + {boundary._S4!r}*sin(4*beta) + {boundary._S6!r}*sin(6*beta))"
+_CORNERS = f"""
+k AS (SELECT DISTINCT region_code, face, n, m FROM coded),
+g AS (SELECT k.*, (n + i) / {_SPAN} AS px, (m + j) / {_SPAN} AS py FROM k, (VALUES (0, 0), (1, 0), (1, 1), (0, 1)) t(i, j)),
+h AS (SELECT *, 2 * px - 1 AS u, CASE face WHEN 'N' THEN 1 - 2 * py ELSE 2 * py - 1 END AS v FROM g),
+i AS (SELECT *, greatest(abs(u), abs(v)) AS far, CASE WHEN face IN ('N', 'S') THEN (CASE WHEN -v >= abs(u) - 1e-12 THEN 0 WHEN u >= abs(v) - 1e-12 THEN 1 WHEN v >= abs(u) - 1e-12 THEN 2 ELSE 3 END) END AS quarter FROM h),
+c AS (SELECT *, CASE WHEN quarter IS NULL THEN {_WEST} + {math.pi / 2!r} * px WHEN far < 1e-12 THEN {-math.pi!r} + {math.pi / 4!r} ELSE {-3 * math.pi / 4!r} + quarter * {math.pi / 2!r} + {math.pi / 4!r} * (CASE quarter WHEN 0 THEN u WHEN 1 THEN v WHEN 2 THEN -u ELSE -v END) / far END AS lon,
+  asin(greatest(-1e0, least(1e0, CASE WHEN quarter IS NULL THEN (0.5e0 - py) / 0.75e0 WHEN face = 'N' THEN 1 - far * far / 3 ELSE far * far / 3 - 1 END))) AS beta FROM i),
+d AS (SELECT region_code, face, regexp_full_match(region_code, '[NS]4*') AS pole, degrees(lon) AS x, degrees({_LAT}) AS y FROM c),
+e AS (SELECT region_code, face, pole, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, min(x) FILTER (abs(x) < 180 - 1e-9) AS i0, max(x) FILTER (abs(x) < 180 - 1e-9) AS i1 FROM d GROUP BY 1, 2, 3)
+"""
 
 
-@query(f"WITH {CODED}, c AS (SELECT DISTINCT region_code, face, n, m FROM coded WHERE face IN ('O','P','Q','R')) SELECT region_code, round(degrees({_WEST} + {math.pi / 2!r} * n / {3**RES}e0), 6) AS min_x, round(degrees({_WEST} + {math.pi / 2!r} * (n + 1) / {3**RES}e0), 6) AS max_x, round(degrees({_LAT(_LOW)}), 6) AS min_y, round(degrees({_LAT(_TOP)}), 6) AS max_y FROM c")
+@query(f"""WITH {CODED}, {_CORNERS} SELECT region_code, 0e0 + round(CASE WHEN pole THEN -180e0 WHEN x1 - x0 > 180 AND i0 > 0 THEN i0 WHEN x1 - x0 > 180 THEN -180e0 ELSE x0 END, 6) AS min_x,
+  0e0 + round(CASE WHEN pole THEN 180e0 WHEN x1 - x0 > 180 AND i1 < 0 THEN i1 WHEN x1 - x0 > 180 THEN 180e0 ELSE x1 END, 6) AS max_x,
+  0e0 + round(CASE WHEN pole AND face = 'S' THEN -90e0 ELSE y0 END, 6) AS min_y, 0e0 + round(CASE WHEN pole AND face = 'N' THEN 90e0 ELSE y1 END, 6) AS max_y FROM e""")
 def geometry_slices(spark, d):
     c = aggregate.cell_frequency(cells(spark, d))
     b = c.select("region_code", boundary.cell_bbox(F.col("region_code")).alias("b"))
-    return b.select("region_code", *(F.round(F.col(f"b.{k}"), 6).alias(k) for k in ("min_x", "max_x", "min_y", "max_y")))
+    return b.select("region_code", *((F.lit(0.0) + F.round(F.col(f"b.{k}"), 6)).alias(k) for k in ("min_x", "max_x", "min_y", "max_y")))  # 0.0 for -0.0
+
+
+@query(f"WITH {CODED}, {_CORNERS} SELECT region_code, CAST(4 AS BIGINT) AS corners, round(sum(y), 5) AS sum_y, round(sum(sin(radians(x)) + 1), 6) AS round_x FROM d GROUP BY region_code, pole")
+def cell_corners(spark, d):
+    """All four corners of each cell's ring, whichever is first; longitudes by their sine, so that 180 is -180."""
+    ring = boundary.cell_boundary(F.col("region_code"), trim_dart=False, decimals=None)
+    b = aggregate.cell_frequency(cells(spark, d)).select("region_code", ring.alias("r"))
+    total = lambda f: F.aggregate("r", F.lit(0.0), lambda a, v: a + f(v))
+    return b.select("region_code", F.size("r").cast("long").alias("corners"), F.round(total(lambda v: v["y"]), 5).alias("sum_y"), F.round(total(lambda v: F.sin(F.radians(v["x"])) + 1), 6).alias("round_x"))
 
 
 @query()
@@ -214,14 +236,14 @@ def unpack_code(spark, d):
 # footprints
 
 
-@query(f"WITH {cell_ctes(3)}, c AS (SELECT DISTINCT CASE WHEN face IN ('N','S') THEN face ELSE 'E' END AS face, n + CASE face WHEN 'P' THEN 27 WHEN 'Q' THEN 54 WHEN 'R' THEN 81 ELSE 0 END AS n, m FROM coded WHERE region_code LIKE '%1%'), e AS (SELECT face, n AS x1, m AS y1, n + 1 AS x2, m AS y2 FROM c UNION ALL SELECT face, n + 1, m, n + 1, m + 1 FROM c UNION ALL SELECT face, n + 1, m + 1, n, m + 1 FROM c UNION ALL SELECT face, n, m + 1, n, m FROM c) SELECT * FROM e a WHERE NOT EXISTS (SELECT 1 FROM e b WHERE b.face = a.face AND b.x1 = a.x2 AND b.y1 = a.y2 AND b.x2 = a.x1 AND b.y2 = a.y1)")
+@query(f"WITH {cell_ctes(3)}, c AS (SELECT DISTINCT CASE WHEN face IN ('N','S') THEN face ELSE 'E' END AS face, n + CASE face WHEN 'P' THEN 27 WHEN 'Q' THEN 54 WHEN 'R' THEN 81 ELSE 0 END AS n, m FROM coded), e AS (SELECT face, n AS x1, m AS y1, n + 1 AS x2, m AS y2 FROM c UNION ALL SELECT face, n + 1, m, n + 1, m + 1 FROM c UNION ALL SELECT face, n + 1, m + 1, n, m + 1 FROM c UNION ALL SELECT face, n, m + 1, n, m FROM c) SELECT * FROM e a WHERE NOT EXISTS (SELECT 1 FROM e b WHERE b.face = a.face AND b.x1 = a.x2 AND b.y1 = a.y2 AND b.x2 = a.x1 AND b.y2 = a.y1)")
 def dissolve_boundary_edges(spark, d):
     return coverage.boundary_edges(aggregate.cell_frequency(cells(spark, d, 3)))
 
 
 @query()
 def dissolve(spark, d):
-    return coverage.dissolve(aggregate.cell_frequency(cells(spark, d, 4)), 4, parent=1)
+    return coverage.dissolve(aggregate.cell_frequency(cells(spark, d, 4)), 4)
 
 
 _HEX = 1.5
@@ -235,7 +257,7 @@ def hexbin_counts(spark, d):
 # navigation
 
 
-@query(f"WITH s AS ({SOUNDINGS}), m AS (SELECT *, radians(Y) AS p, sin(radians(heading)) AS e, cos(radians(heading)) AS h FROM s WHERE abs(Y) < 80), k AS (SELECT *, 111412.84e0*cos(p) - 93.5e0*cos(3*p) + 0.118e0*cos(5*p) AS lx, 111132.92e0 - 559.82e0*cos(2*p) + 1.175e0*cos(4*p) - 0.0023e0*cos(6*p) AS ly FROM m) SELECT ping_number, beam_number, l_partkey, l_suppkey, round(X + h/lx*across_track + e/lx*along_track, 6) AS beam_x, round(Y - e/ly*across_track + h/ly*along_track, 6) AS beam_y FROM k")
+@query(f"WITH s AS ({SOUNDINGS}), m AS (SELECT *, radians(Y) AS p, sin(radians(heading)) AS e, cos(radians(heading)) AS h FROM s), k AS (SELECT *, 111412.84e0*cos(p) - 93.5e0*cos(3*p) + 0.118e0*cos(5*p) AS lx, 111132.92e0 - 559.82e0*cos(2*p) + 1.175e0*cos(4*p) - 0.0023e0*cos(6*p) AS ly FROM m) SELECT ping_number, beam_number, l_partkey, l_suppkey, round(X + h/lx*across_track + e/lx*along_track, 6) AS beam_x, round(Y - e/ly*across_track + h/ly*along_track, 6) AS beam_y FROM k")
 def beam_lon_lat(spark, d):
     made = navigation.beam_positions(soundings(spark, d), "X", "Y")
     return made.select("ping_number", "beam_number", "l_partkey", "l_suppkey", F.round("X", 6).alias("beam_x"), F.round("Y", 6).alias("beam_y"))
@@ -325,7 +347,7 @@ def combine_arrays(spark, d):
     return aggregate.value_count(f.unionByName(o).unionByName(f), "l_returnflag")
 
 
-@query("WITH f AS (SELECT list(o_orderkey ORDER BY o_orderkey) AS a, list(o_custkey ORDER BY o_orderkey) AS b FROM orders WHERE o_orderkey <= 500) SELECT unnest(a) AS a, unnest(b) AS b, unnest(range(len(a))) AS position FROM f")
+@query("WITH f AS (SELECT list(o_orderkey ORDER BY o_orderkey) AS a, list(o_custkey ORDER BY o_orderkey) AS b FROM orders) SELECT unnest(a) AS a, unnest(b) AS b, unnest(range(len(a))) AS position FROM f")
 def positional_zip(spark, d):
     o = table(spark, d, "orders")
     left, right = (o.select(F.col("o_orderkey").alias("key"), F.col(c).alias(n)) for c, n in (("o_orderkey", "a"), ("o_custkey", "b")))
@@ -384,8 +406,12 @@ def props_json(spark, d):
 
 
 def queries() -> dict[str, Query]:
+    from soundgrid import catalog_io  # noqa: F401  (adds the queries of sources, sinks and jobs)
+
     return {k: f for k, (f, _) in _FOUND.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    from soundgrid import catalog_io  # noqa: F401
+
     return {k: s for k, (_, s) in _FOUND.items() if s}

@@ -24,14 +24,13 @@ def entered_rows(rows: DataFrame) -> DataFrame:
 def clean_fields(rows: DataFrame) -> DataFrame:
     """sheet, field, values (array of text in sheet order), when (timestamp of a datetime field).
 
-    Values of rows with the same field as written are put together.  A field that names keywords is `keywords`, its values split at commas; of another
-    field's name an example (up to an ellipsis) goes.  Fields that then have one name keep the values of the one that comes last in the sheet.
+    A field whose name says keywords is `keywords`, its values split at commas; of another field's name an example (up to an ellipsis) goes.
+    Rows of one field are put together.
     """
     keyword = F.contains(F.lower("field"), F.lit("keyword"))
     name = F.when(keyword, "keywords").otherwise(standardise_name(drop_example(F.col("field"))))
-    parts = F.when(keyword, split_keywords(F.col("value"))).otherwise(F.array("value"))
-    written = rows.groupBy(standardise_name(F.col("sheet")).alias("sheet"), name.alias("name"), "field").agg(F.min("position").alias("first"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("position", parts.alias("parts")))), lambda s: s["parts"])).alias("values"))
-    grouped = written.groupBy("sheet", F.col("name").alias("field")).agg(F.max_by("values", "first").alias("values"))
+    made = rows.withColumn("name", name).withColumn("parts", F.when(keyword, split_keywords(F.col("value"))).otherwise(F.array("value")))
+    grouped = made.groupBy(standardise_name(F.col("sheet")).alias("sheet"), F.col("name").alias("field")).agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("position", "parts"))), lambda s: s["parts"])).alias("values"))
     return grouped.withColumn("when", F.when(F.contains(F.col("field"), F.lit("datetime")), parse_when(F.col("values")[0])))
 
 

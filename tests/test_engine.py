@@ -232,6 +232,107 @@ def test_text_functions(spark):
     assert spark.range(1).select(text.drop_example(F.lit("e.g. abc… value")).alias("v")).first()["v"] == "value"
 
 
+@pytest.mark.parametrize(("value", "kind", "want"), [("1d", "text", "1d"), ("5F", "text", "5f"), ("1e5", "text", "1e5"), ("nan", "text", "nan"), ("Infinity", "text", "infinity"), ("7", "number", 7.0), (" -7 ", "number", -7.0), ("1_000", "number", 1000.0), ("1.5", "number", 1.5), ("1.5e3", "number", 1500.0), ("1.5d", "text", "1.5d"), (".5", "number", 0.5), ("v1.2", "text", "v1.2"), ("0x10", "text", "0x10"), ("YES", "flag", "true"), ("Unknwn", "text", "unknown"), ("1.5,nan,x", "numbers", None), ("", "text", "")])
+def test_parameter_values(spark, value, kind, want):
+    x = spark.range(1).select(text.parameter_value(F.lit(value)).alias("x")).first()["x"]
+    assert x["kind"] == kind and (x["numbers"][0] == 1.5 and math.isnan(x["numbers"][1]) and x["numbers"][2] is None if kind == "numbers" else x["number" if kind == "number" else "text"] == want)
+
+
+def test_dates_as_people_write_them(spark):
+    want = {"3/4/2020": (2020, 3, 4), "25/12/2020": (2020, 12, 25), "March 4, 2020": (2020, 3, 4), "2020-03-04T05:06Z": (2020, 3, 4), "4 Mar 2020 10:30": (2020, 3, 4), "2020-03-04 05:06:07": (2020, 3, 4), "20200304": (2020, 3, 4), "soon": None, "": None}
+    df = spark.createDataFrame([(k,) for k in [*want, None]], "v string").select("v", text.parse_when(F.col("v")).alias("t"))
+    got = {r["v"]: r["t"] and (r["t"].year, r["t"].month, r["t"].day) for r in df.collect()}
+    assert got == {**want, None: None}
+
+
+def test_examples_stand_in_field_names(spark):
+    rows = spark.createDataFrame([(3, "Survey (General)", "Mandatory", "e.g. x… Survey Title", "Reef … part two"), (4, "Survey (General)", None, "Key words (Keyword)", "a,b"), (5, "Survey (General)", None, "Keyword list", "c")], "position int, sheet string, requirement string, field string, value string")
+    got = {r["field"]: r["values"] for r in metadata.harvest(rows).collect()}
+    assert got == {"survey_title": ["Reef … part two"], "keywords": ["a", "b", "c"]}
+
+
+def test_date_cells_of_spreadsheets(tmp_path):
+    import io
+    import zipfile
+
+    main, rel = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"', 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {main} {rel}><sheets><sheet name="S" sheetId="1" r:id="r1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Target="worksheets/sheet1.xml"/></Relationships>')
+        z.writestr("xl/styles.xml", f'<styleSheet {main}><numFmts><numFmt numFmtId="170" formatCode="yyyy\\-mm"/><numFmt numFmtId="171" formatCode="0.00&quot;days&quot;"/></numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="170"/><xf numFmtId="171"/></cellXfs></styleSheet>')
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {main}><sheetData><row r="1"><c r="A1" s="1"><v>43831</v></c><c r="B1" s="2"><v>43831.25</v></c><c r="C1" s="3"><v>43831</v></c><c r="D1"><v>43831</v></c><c r="E1" s="1"><v>1</v></c></row></sheetData></worksheet>')
+    assert xlsx.sheet_cells(held.getvalue())["S"][1] == {"A": "2020-01-01 00:00:00", "B": "2020-01-01 06:00:00", "C": "43831", "D": "43831", "E": "1900-01-01 00:00:00"}
+
+
+def test_logs_are_read_by_ranges(spark, log):
+    plan = gsf.plan(spark, log + "/a.gsf", step=2).orderBy("first").collect()
+    assert [(r["first"], r["last"], r["pings"], r["beams"]) for r in plan] == [(0, 2, 2, 5), (2, 4, 2, 5), (4, 5, 1, 2)]
+    assert [r["scales"].get(1) and r["scales"][1]["multiplier"] for r in plan] == [None, 100, 10]  # those in force before each range
+    whole, ranged = (gsf.soundings(gsf.read_records(spark, log + "/a.gsf", step=k)).orderBy("ping_number", "beam_number").toPandas() for k in (2000, 1))
+    files = gsf.decode(spark.read.format("binaryFile").load(log + "/a.gsf"))
+    in_memory = gsf.soundings(files).orderBy("ping_number", "beam_number").toPandas()
+    assert whole.drop(columns="path").equals(ranged.drop(columns="path")) and whole.drop(columns="path").equals(in_memory.drop(columns="path"))
+    assert gsf.read_records(spark, log + "/a.gsf", step=1, per_task=1).rdd.getNumPartitions() == 5
+    assert [r["ping_number"] for r in gsf.read_record(spark, log + "/a.gsf", "ping", 3).collect()] == [3]
+    assert {r["path"].rsplit("/", 1)[1]: (r["pings"], r["beams"]) for r in gsf.counts(spark, log).collect()} == {"a.gsf": (5, 12)}
+    plan = gsf.soundings(gsf.read_records(spark, log + "/a.gsf"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInPandas") == 1 and "Join" not in plan and "Window" not in plan
+    index = gsf.index_of(spark.read.format("binaryFile").load(log))
+    assert sorted(map(tuple, index.drop("path").collect())) == sorted(map(tuple, gsf.read_index(spark, log).drop("path").collect()))
+
+
+def test_ingest_skips_empty_files(spark, log, tmp_path):
+    bounds = workflows.ingest(spark, [log], str(tmp_path / "p"), str(tmp_path / "c"), 5)
+    assert bounds.first()["end_datetime"].minute == 16 and spark.read.parquet(str(tmp_path / "p")).count() == 12
+    with pytest.raises(ValueError, match="without pings"):
+        workflows.ingest(spark, [log], str(tmp_path / "p2"), str(tmp_path / "c2"), 5, skip_empty=False)
+    assert workflows.ingest(spark, [log + "/empty.gsf"], str(tmp_path / "p3"), str(tmp_path / "c3"), 5).first()["end_datetime"] is None
+
+
+def test_outlines_and_centres_by_array(spark):
+    df = spark.createDataFrame([([5.0, -1.0, 1.0], [0.0, 0.0, 0.0], 0), ([5.0, -1.0, 1.0], [0.0, 1.0, 0.0], 0), ([float("nan"), 3.0], None, 0), ([1.0], [0.0], 1), ([], [], 0), (None, None, 0)], "a array<double>, f array<double>, p int")
+    assert [r[0] for r in df.select(navigation.centre_of_arrays(F.col("a"), F.col("f"), F.col("p"))).collect()] == [1, 2, None, None, None, None]
+
+
+def test_reference_systems_are_overridden(spark):
+    df = spark.createDataFrame([(1.0, 2.0)], "X double, Y double")
+    assert metadata.crs_info(df) == {"horizontal_datum": "epsg:4326"}
+    once = metadata.crs_column(df, {"horizontal_datum": "epsg:4283"})
+    assert metadata.crs_info(metadata.crs_column(once, {"horizontal_datum": "epsg:7844"}))["horizontal_datum"] == "epsg:7844"
+
+
+def test_own_column_names_are_reserved(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3)], "X double, Y double, sg_code int")
+    with pytest.raises(ValueError, match="reserved"):
+        dggs.with_cell(df)
+    assert dggs.with_cell(df.withColumnRenamed("sg_code", "dggs__code")).columns == ["X", "Y", "dggs__code", "region_code"]
+    with pytest.raises(ValueError, match="reserved"):
+        planning.upsert(df.withColumnRenamed("sg_code", "sg_age"), df.withColumnRenamed("sg_code", "sg_age"), ["X"])
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from soundgrid import shared
+
+    class Sc:
+        master = "spark://host:7077"
+        _jsc = type("J", (), {"sc": lambda self: type("S", (), {"getCheckpointDir": lambda self: type("O", (), {"isEmpty": lambda self: True})()})()})()
+
+        def getConf(self):
+            return {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared.shared_dir(type("Session", (), {"sparkContext": Sc()})())
+    folder = shared.scratch(spark, "x")
+    spark.range(1).write.parquet(folder)
+    assert sinks.exists(spark, folder)
+    kept = shared._SCRATCH[:]
+    shared._SCRATCH[:] = [folder]
+    shared.release(spark)
+    shared._SCRATCH[:] = kept[:-1]
+    assert not sinks.exists(spark, folder)
+
+
 def test_schema(spark):
     assert required_schema(["pitch", "Z", "nope"], ["ping_number", "beam_number"]).names == ["ping_number", "beam_number", "Z", "pitch"]
     got = coerce_soundings(spark.createDataFrame([(1.0, None, 7)], "X double, beam_flags int, extra int"))
