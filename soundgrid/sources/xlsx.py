@@ -25,7 +25,7 @@ _DATES = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 5
 
 def _date_styles(styles) -> set[int]:
     """Cell styles that show their number as a date."""
-    own = {int(f.get("numFmtId")) for f in styles.iter(f"{_M}numFmt") if re.search("[dmyhs]", re.sub(r'"[^"]*"|\\.|\[[^\]]*\]\, "", f.get("formatCode") or ""), re.I)}
+    own = {int(f.get("numFmtId")) for f in styles.iter(f"{_M}numFmt") if re.search("[dmyhs]", re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", f.get("formatCode") or ""), re.I)}
     cells = styles.find(f"{_M}cellXfs")
     return {k for k, x in enumerate(cells if cells is not None else []) if int(x.get("numFmtId") or 0) in own | _DATES}
 
