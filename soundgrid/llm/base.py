@@ -149,14 +149,14 @@ HOT = 1000  # rows of a key from which on it counts as hot
 HOTS = 100_000  # hot keys at most: a table of them is broadcast
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, n: str = "n", how: str = "inner") -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, key: str, n: str = "n", how: str = "inner", counted: tuple[int, int] | None = None) -> DataFrame:
     """Join (inner or left) of `left` with the columns of `right`, which has one row per key and in `n` how many rows of `left` have it.
 
     Keys of over HOT rows (more rows if there are over HOTS such keys) are broadcast, so at most HOTS rows are; the other keys are joined by a shuffle in which
-    rows of hot keys are spread evenly.  `right` is read several times: cut it before.
+    rows of hot keys are spread evenly.  `right` is read several times: cut it before.  `counted`: the sum and the greatest of `n`, if known.
     """
     names = [c for c in right.columns if c not in (key, n)]
-    total = right.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.max(n), F.lit(0))).first()
+    total = counted or right.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.max(n), F.lit(0))).first()
     least = max(HOT, -(-total[0] // HOTS))
     if total[1] <= least:
         return left.join(right.select(key, *names), key, how).select(*left.columns, *names)
@@ -174,22 +174,18 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star rounds; each is an aggregate and a lookup on the node, which broadcasts what
     belongs to a hub.  Nodes without edges are absent.  Self-loops are ignored.
+
+    The graph is done when it is a forest of stars: when every node that has a smaller neighbour has no other (that neighbour then has none smaller).
     """
-    e = F.least("u", "v"), F.greatest("u", "v")
-    now = cut(edges.where("u <> v").select(e[1].alias("u"), e[0].alias("v")).distinct())
-    before = None
+    now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     for _ in range(rounds):
+        now = cut(now)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = cut(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "u")))
-        large = lookup(both.where("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        open_, total, most = least.agg(F.sum(((F.col("m") < F.col("u")) & (F.col("n") > 1)).cast("long")), F.sum("n"), F.max("n")).first()
+        if not open_:
+            return least.select(F.col("u").alias("node"), F.col("m").alias("component"))
+        large = lookup(both.where("v > u"), least, "u", counted=(total, most)).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("s")).select("s.u", "s.v").where("u <> v").distinct()
-        now = cut(small)
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    stars = now.groupBy("u").agg(F.min("v").alias("component"))
-    return stars.select(F.col("u").alias("node"), "component").unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
+        now = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("s")).select("s.u", "s.v").where("u <> v").distinct()
+    raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -234,11 +234,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: i
             else:
                 state = cut(state)
                 sizes = state.groupBy("cluster", "component").agg(F.count("*").alias("m"))
-                main = sizes.groupBy("cluster").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.max("m").alias("of_main"), F.sum("m").alias("n"))
+                main = sizes.groupBy("cluster").agg(F.max_by("component", F.struct("m", "component")).alias("main"), F.max("m").alias("of_main"), F.sum("m").alias("of_cluster"), F.sum("m").alias("n"))
                 state = lookup(state, cut(main), "cluster")  # the texts come later: a hot cluster's rows are lean here
                 parts = (F.col("blocks") * 2).cast("int")
                 rest = F.col("of_cluster") - F.col("of_main")
-                state = lookup(state, cut(state.groupBy("cluster").agg(F.count("*").alias("n")).withColumn("of_cluster", F.col("n"))), "cluster")
                 state = state.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(k)), parts).cast("int")).withColumn("parts", parts).withColumn("pieces", F.greatest(F.lit(1), F.ceil(parts * rest / F.col("of_cluster"))).cast("int"))
                 own = state.where("of_main < of_cluster").select("rep", "cluster", "component", "part", "parts", "pieces", (F.col("component") != F.col("main")).alias("loose_one")).join(whole, "rep")
                 one = own.where("loose_one").withColumn("loose", F.pmod(F.xxhash64("rep", F.lit(k + 1)), F.col("pieces")).cast("int")).select("rep", "text", "cluster", "component", "loose", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"))
