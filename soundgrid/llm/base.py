@@ -1,10 +1,7 @@
-"""Shared pieces: reliable checkpoints, Arrow batch settings, grouped streaming, components."""
+"""Shared pieces: Arrow batch settings, sieves, lookups of hot keys, grouped streaming, components."""
 
 from __future__ import annotations
 
-import gc
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -13,8 +10,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from soundgrid.shared import cut, release, scratch, shared_dir
 from soundgrid.ship import ship
 
+__all__ = ["Forest", "components", "cut", "lookup", "release", "runs", "scratch", "shared_dir", "sieve", "text_or_empty", "tune"]
+
 #: Rows in one Arrow batch: whole texts travel in them, so batches stay a few MB.
 BATCH_ROWS = 1000
 
@@ -25,51 +25,6 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (spark.checkpoint.dir, or that of the context).
-
-    A machine-local folder of our own only where none is set and the master is local, as in tests; a cluster without one is an error, since lost executors would lose data.
-    """
-    sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir")
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isEmpty():
-        if not named and not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir names no shared folder")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="soundgrid-"))
-        current = sc._jsc.sc().getCheckpointDir()
-    return named or current.get()
-
-
-_SCRATCH: list[str] = []
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder of ours in the shared one, for what an operator writes and reads back; `release` removes them all."""
-    _SCRATCH.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
-    return _SCRATCH[-1]
-
-
-def release(spark: SparkSession) -> None:
-    """Remove the folders of `scratch`, once no result that reads them is wanted any more."""
-    while _SCRATCH:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: a lost executor does not lose it, and later reads do not recompute.
-
-    Shuffle files go when the driver has collected what held them (superseded checkpoints too, where the cluster sets
-    spark.cleaner.referenceTracking.cleanCheckpoints); an iteration would otherwise pile them up, so the driver is asked to collect here.
-    """
-    shared_dir(df.sparkSession)
-    done = df.checkpoint(eager=True)
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return done
-
-
 def sieve(ids: DataFrame, bits: int = 23) -> Callable[..., DataFrame]:
     """A filter keep(rows, key, among=True) for the rows whose id may be among `ids` (a column `id`; no false negative), or with
     among=False for those that surely are not.
@@ -146,20 +101,22 @@ class Forest:
 
 
 HOT = 1000  # rows of a key from which on it counts as hot
-HOTS = 100_000  # hot keys at most: a table of them is broadcast
+HOTS = 100_000  # rows of a table that is broadcast, and hot keys, at most
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, n: str = "n", how: str = "inner", counted: tuple[int, int] | None = None) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, key: str, n: str = "n", how: str = "inner", counted: tuple[int, int, int] | None = None) -> DataFrame:
     """Join (inner or left) of `left` with the columns of `right`, which has one row per key and in `n` how many rows of `left` have it.
 
-    Keys of over HOT rows (more rows if there are over HOTS such keys) are broadcast, so at most HOTS rows are; the other keys are joined by a shuffle in which
-    rows of hot keys are spread evenly.  `right` is read several times: cut it before.  `counted`: the sum and the greatest of `n`, if known.
+    Up to HOTS rows, counted, `right` is broadcast.  Beyond it, its keys of over HOT rows are (of more rows, if there are over HOTS such keys), so at most HOTS are; the
+    other keys are joined by a shuffle in which rows of hot keys are spread evenly.  `right` is read several times: cut it before.
+    `counted`: its rows, and the sum and the greatest of `n`, if known.
     """
     names = [c for c in right.columns if c not in (key, n)]
-    total = counted or right.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.max(n), F.lit(0))).first()
-    least = max(HOT, -(-total[0] // HOTS))
-    if total[1] <= least:
-        return left.join(right.select(key, *names), key, how).select(*left.columns, *names)
+    rows, total, most = counted or right.agg(F.count("*"), F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.max(n), F.lit(0))).first()
+    least = max(HOT, -(-total // HOTS))
+    if rows <= HOTS or most <= least:
+        other = right.select(key, *names)
+        return left.join(F.broadcast(other) if rows <= HOTS else other, key, how).select(*left.columns, *names)
     hot = F.broadcast(right.where(F.col(n) > least).select(F.col(key).alias("key_of_hot"), *(F.col(c).alias(f"{c}_of_hot") for c in names)))
     cold = right.where(F.col(n) <= least).select(F.col(key).alias("key_of_cold"), F.lit(0).cast("long").alias("spread_of_cold"), *(F.col(c).alias(f"{c}_of_cold") for c in names))
     met = F.col("key_of_hot").isNotNull()
@@ -182,10 +139,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         now = cut(now)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = cut(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "u")))
-        open_, total, most = least.agg(F.sum(((F.col("m") < F.col("u")) & (F.col("n") > 1)).cast("long")), F.sum("n"), F.max("n")).first()
+        open_, *counted = least.agg(F.sum(((F.col("m") < F.col("u")) & (F.col("n") > 1)).cast("long")), F.count("*"), F.sum("n"), F.max("n")).first()
         if not open_:
             return least.select(F.col("u").alias("node"), F.col("m").alias("component"))
-        large = lookup(both.where("v > u"), least, "u", counted=(total, most)).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = lookup(both.where("v > u"), least, "u", counted=counted).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").repartition("u")  # one exchange for the aggregate and the join
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         now = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("s")).select("s.u", "s.v").where("u <> v").distinct()
     raise RuntimeError(f"components did not settle in {rounds} rounds")
