@@ -340,6 +340,9 @@ def test_mixing_odd_rows(spark, docs):
     none = mixing.mix(docs, labels.limit(0)).toPandas()
     assert len(none) == len(ODD) and np.allclose(none.rate, none.rate.iloc[0])
     assert mixing.mix(docs.limit(0), labels).count() == 0
+    kept = mixing.keep_mixed(docs, labels)
+    assert kept.columns == docs.columns and kept.count() <= len(ODD) and mixing.keep_mixed(docs.limit(0), labels).count() == 0
+    assert sum(r["doc_id"] == 5 for r in kept.collect()) in (0, 2)  # repeated rows are drawn alike
 
 
 # near duplicates
@@ -412,12 +415,14 @@ def test_components_of_a_path_and_a_star(spark):
 
 def test_hot_keys_are_looked_up_alike(spark, monkeypatch):
     monkeypatch.setattr(base, "HOT", 5)
+    monkeypatch.setattr(base, "HOTS", 30)
     left = spark.range(200).selectExpr("if(id < 120, 1, id % 40) as k", "id as x")
     right = base.cut(left.groupBy("k").agg(F.count("*").alias("n"), F.max("x").alias("top")).where("k <> 7"))
     for how in ("inner", "left"):
         want = left.join(right.drop("n"), "k", how)
         got = base.lookup(left, right, "k", how=how)
         assert got.columns == ["k", "x", "top"] and sorted(map(str, got.collect())) == sorted(map(str, want.select("k", "x", "top").collect()))
+    monkeypatch.setattr(base, "HOT", 10)
     edges = [(k, k + 1) for k in range(100, 130)] + [(7, k) for k in range(8, 60)]
     got = {r["node"]: r["component"] for r in base.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert {got[k] for k in range(100, 131)} == {100} and {got[k] for k in range(7, 60)} == {7}
@@ -842,8 +847,27 @@ def test_pipeline_against_its_parts(spark, sf):
     assert sorted(r["doc_id"] for r in two.collect()) == sorted({c for _, c in want.values()})
     three = corpus_pipeline.mix_sources(spark, two, sf).cache()
     assert one.columns == two.columns == three.columns == names
-    assert 0 < three.count() <= two.count() and three.join(two, "doc_id", "left_anti").count() == 0
-    assert corpus_pipeline.run(spark, sf).select("doc_id").distinct().count() == three.count()
+    # mixing by hand: the same rates and draws, document by document
+    model = mixing.fit_domains(two, spark.read.parquet(f"{sf}/labels.parquet"))
+    rows = two.select("doc_id", "text", (F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(1 << 30)) / float(1 << 30)).alias("draw")).toPandas()
+    p, n = np.stack([model.posterior(t or "") for t in rows.text]), np.array([len((t or "").split()) for t in rows.text], float)
+    share = np.array([mixing.WEIGHTS.get(c, 0.0) for c in model.classes])
+    budget = min(h / s for h, s in zip(n @ p, share / share.sum(), strict=True) if s > 0)
+    rates, told = mixing.fit_rates(two.select(mixing.posteriors(model)("text").alias("s")).select("s.*"), model.classes, most=1.0)
+    w = np.clip(rates.start - p @ np.array(rates.step), 0, 1)
+    assert np.isclose(sum(told["target"].values()), budget) and told["converged"]
+    a = (p * n[:, None]).T
+    assert np.linalg.norm(a @ w - share / share.sum() * budget) <= best_residual(a, share / share.sum() * budget, 1.0) + 1e-4 * budget
+    wanted = {d for d, x, u in zip(rows.doc_id, w, rows.draw, strict=True) if np.floor(x + u) > 0}
+    assert {r["doc_id"] for r in three.collect()} == wanted and 0 < len(wanted) <= len(rows)
+    # packing: every id of every document of the third stage, once and in place
+    packed = corpus_pipeline.run(spark, sf).toPandas()
+    e = tokens.encoder(public_tokenizers.path(tokens.VOCABULARY))
+    ids = {r["doc_id"]: tokens.ids_of(r["text"] or "", e, 1) for r in three.collect()}
+    assert set(packed.doc_id) == set(ids)
+    for d, g in packed.sort_values("start").groupby("doc_id"):
+        assert g.start.tolist() == [0, *np.cumsum(g.length)[:-1].tolist()] and g.length.sum() == len(ids[d])
+        assert all(zlib.crc32(ids[d][s : s + k].tobytes()) == c for s, k, c in zip(g.start, g.length, g.ids_crc32, strict=True))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_duplicates", "mixing", "packing"]
 
 
