@@ -14,7 +14,8 @@ Two documents are linked if 100 * |A and B| >= percent * |A or B|.
    standard errors below the threshold; a pair that verified links already connect is skipped, any other is verified on
    the full sets.  Only links of a spanning forest leave the task.
 5. Clusters of over BLOCK classes, or SHINGLES shingles, are dealt into blocks, several times anew; then each class outside its cluster's largest
-   component is held against the whole cluster, block by block.  So every pair down to the margin is verified or connected, at any size.
+   component is held against the whole cluster, block by block: first by sketches alone, then texts are fetched for the classes that have a
+   pair down to the margin, to the blocks that ask for them.  So every pair down to the margin is verified or connected, at any size.
 6. Components of the verified links give the result.
 
 Edge cases: null, empty or blank texts have no shingles, link with nothing and are kept; rows that repeat a doc_id with
@@ -181,6 +182,50 @@ def _sketch(width: int):
     return run
 
 
+SKETCHED = "rep long, reg binary, full binary, size long"
+
+
+def _registers(width: int):
+    """Sketches of (rep, text)."""
+
+    def run(batches):
+        words = Words()
+        for batch in batches:
+            sets = [shingles(t, width, words) for t in batch.column("text").to_pylist()]
+            made = [registers(s) if len(s) else (np.zeros(REGISTERS, np.uint16), np.zeros(REGISTERS, bool)) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array([r.tobytes() for r, _ in made], pa.binary()), pa.array([np.packbits(f).tobytes() for _, f in made], pa.binary()), pa.array([len(s) for s in sets], pa.int64())], names=["rep", "reg", "full", "size"])
+
+    return run
+
+
+def asked(reg: np.ndarray, full: np.ndarray, size: np.ndarray, component: np.ndarray, side: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows have, on the other side, one of another component whose estimate reaches the margin."""
+    out = np.zeros(len(size), bool)
+    others = np.flatnonzero(side == 1)
+    for i in np.flatnonzero(side == 0).tolist():
+        at = np.concatenate([[i], others])
+        e, error = estimates(reg[at], full[at], size[at], 0)
+        n = size[others]
+        ok = (e >= percent / 100 - MARGIN * error) & (100 * np.minimum(n, size[i]) >= percent * np.maximum(n, size[i])) & (component[others] != component[i])
+        if ok.any():
+            out[i] = True
+            out[others[ok]] = True
+    return out
+
+
+def _ask(percent: int, keys: list[str]):
+    def run(batches):
+        for t in runs(batches, keys):
+            if t.num_rows < 2:
+                continue
+            reg = np.frombuffer(b"".join(t["reg"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
+            full = np.unpackbits(np.frombuffer(b"".join(t["full"].to_pylist()), np.uint8)).astype(bool).reshape(-1, REGISTERS)
+            found = asked(reg, full, t["size"].to_numpy(), t["component"].to_numpy(), t["side"].to_numpy(), percent)
+            yield from t.select(["rep", "component", *keys, "side"]).filter(pa.array(found)).to_batches()
+
+    return run
+
+
 def _links(width: int, percent: int, keys: list[str]):
     def run(batches):
         words = Words()
@@ -226,7 +271,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: i
     links = _verified(lean.select("rep", "cluster", F.pmod(F.xxhash64("rep", F.lit(0)), F.col("blocks")).alias("part"), F.col("rep").alias("component")).join(whole, "rep"), ["cluster", "part"], width, percent)
     if sized.where("blocks > 1").limit(1).count():
         lean = lean.where("blocks > 1")
-        whole = cut(lean.select("rep").join(whole, "rep"))
+        whole = cut(lean.select("rep").join(whole, "rep").select("rep", "text"))
         for k in range(1, PASSES + 1):
             state = lean.join(components(links).withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
             if k < PASSES:
@@ -239,10 +284,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, block: i
                 parts = (F.col("blocks") * 2).cast("int")
                 rest = F.col("of_cluster") - F.col("of_main")
                 state = state.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(k)), parts).cast("int")).withColumn("parts", parts).withColumn("pieces", F.greatest(F.lit(1), F.ceil(parts * rest / F.col("of_cluster"))).cast("int"))
-                own = state.where("of_main < of_cluster").select("rep", "cluster", "component", "part", "parts", "pieces", (F.col("component") != F.col("main")).alias("loose_one")).join(whole, "rep")
-                one = own.where("loose_one").withColumn("loose", F.pmod(F.xxhash64("rep", F.lit(k + 1)), F.col("pieces")).cast("int")).select("rep", "text", "cluster", "component", "loose", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"))
-                other = own.select("rep", "text", "cluster", "component", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("loose"), "part", F.lit(1).alias("side"))
-                more = _verified(one.unionByName(other), ["cluster", "part", "loose"], width, percent)
+                sketches = cut(whole.mapInArrow(_registers(width), SKETCHED))
+                own = state.where("of_main < of_cluster").select("rep", "cluster", "component", "part", "parts", "pieces", (F.col("component") != F.col("main")).alias("loose_one")).join(sketches, "rep")
+                kept = ["rep", "cluster", "component", "reg", "full", "size"]
+                one = own.where("loose_one").withColumn("loose", F.pmod(F.xxhash64("rep", F.lit(k + 1)), F.col("pieces")).cast("int")).select(*kept, "loose", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"))
+                other = own.select(*kept, F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("loose"), "part", F.lit(1).alias("side"))
+                keys = ["cluster", "part", "loose"]
+                dealt = one.unionByName(other).repartition(*keys).sortWithinPartitions(*keys, "rep")
+                few = cut(dealt.mapInArrow(_ask(percent, keys), "rep long, component long, cluster long, part int, loose int, side int"))
+                more = _verified(few.join(whole, "rep"), keys, width, percent)
             links = cut(links.unionByName(more))
     joined = components(links).select(F.col("node").alias("rep"), F.col("component").alias("component_id"))
     classes = held.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).join(joined, "rep", "left").select("digest", "n", F.coalesce("component_id", "rep").alias("component_id"))
