@@ -413,6 +413,18 @@ def test_components_of_a_path_and_a_star(spark):
     assert set(got) == {*range(100, 161), *range(7, 60)} and {got[k] for k in range(100, 161)} == {100} and {got[k] for k in range(7, 60)} == {7}
 
 
+def test_sketches_ask_for_every_pair_within_the_margin():
+    r = np.random.default_rng(12)
+    pool = r.integers(0, 2**64, 300, dtype=np.uint64)
+    sets = [np.unique(r.choice(pool, r.integers(100, 300), replace=False)) for _ in range(60)]
+    made = [minhash.registers(s) for s in sets]
+    reg, full, size = np.stack([x[0] for x in made]), np.stack([x[1] for x in made]), np.array([len(s) for s in sets])
+    component, side = r.integers(0, 5, 60), r.integers(0, 2, 60)
+    out = minhash.asked(reg, full, size, component, side, 80)
+    pairs = [(i, j) for i in range(60) for j in range(60) if side[i] == 0 and side[j] == 1 and component[i] != component[j] and minhash.alike(sets[i], sets[j], 80)]
+    assert pairs and all(out[i] and out[j] for i, j in pairs) and out.sum() < 60
+
+
 def test_hot_keys_are_looked_up_alike(spark, monkeypatch):
     monkeypatch.setattr(base, "HOT", 5)
     monkeypatch.setattr(base, "HOTS", 30)
