@@ -215,6 +215,28 @@ def cell_corners(spark, d):
     return b.select("region_code", F.size("r").cast("long").alias("corners"), F.round(total(lambda v: v["y"]), 5).alias("sum_y"), F.round(total(lambda v: F.sin(F.radians(v["x"])) + 1), 6).alias("round_x"))
 
 
+# Which corner is first: on a cap a skew quad's is the western one of the two nearest the north, its longitudes counted in the quarter of its centre;
+# a dart's is the upper left one of the map in the north, the lower left one in the south; any other cell's is the upper left one.
+_FIRST = f"""
+k AS (SELECT DISTINCT region_code, face, n, m, CASE WHEN regexp_full_match(region_code, '[NS][0-8]*[1357][0-8]*') THEN 'skew' WHEN face = 'S' AND NOT regexp_full_match(region_code, 'S4*') THEN 'south' ELSE 'other' END AS kind FROM coded),
+q AS (SELECT *, 2 * (n + 0.5e0) / {_SPAN} - 1 AS u0, (2 * (m + 0.5e0) / {_SPAN} - 1) * CASE face WHEN 'N' THEN -1 ELSE 1 END AS v0 FROM k),
+g AS (SELECT q.*, i, j, 2 * (n + i) / {_SPAN} - 1 AS u, (2 * (m + j) / {_SPAN} - 1) * CASE face WHEN 'N' THEN -1 ELSE 1 END AS v, (m + j) / {_SPAN} AS py, (n + i) / {_SPAN} AS px FROM q, (VALUES (0, 0), (1, 0), (1, 1), (0, 1)) t(i, j)),
+h AS (SELECT *, greatest(abs(u), abs(v)) AS far, CASE WHEN kind = 'skew' THEN (CASE WHEN -v0 > abs(u0) THEN 0 WHEN u0 > abs(v0) THEN 1 WHEN v0 > abs(u0) THEN 2 ELSE 3 END)
+  ELSE (CASE WHEN -v >= abs(u) - 1e-12 THEN 0 WHEN u >= abs(v) - 1e-12 THEN 1 WHEN v >= abs(u) - 1e-12 THEN 2 ELSE 3 END) END AS quarter FROM g),
+c AS (SELECT *, CASE WHEN face NOT IN ('N', 'S') THEN {_WEST} + {math.pi / 2!r} * px ELSE {-3 * math.pi / 4!r} + quarter * {math.pi / 2!r} + {math.pi / 4!r} * (CASE quarter WHEN 0 THEN u WHEN 1 THEN v WHEN 2 THEN -u ELSE -v END) / greatest(far, 1e-300) END AS lon,
+  asin(greatest(-1e0, least(1e0, CASE WHEN face NOT IN ('N', 'S') THEN (0.5e0 - py) / 0.75e0 WHEN face = 'N' THEN 1 - far * far / 3 ELSE far * far / 3 - 1 END))) AS beta FROM h),
+o AS (SELECT *, {_LAT} AS lat, row_number() OVER (PARTITION BY region_code ORDER BY CASE kind WHEN 'skew' THEN 0 WHEN 'south' THEN abs(i) + abs(j - 1) ELSE i + j END, round(beta, 9) DESC, lon) AS place FROM c)
+"""
+
+
+@query(f"WITH {CODED}, {_FIRST} SELECT region_code, round(degrees(lat), 6) AS y, 0e0 + round(sin(lon), 6) AS sin_x, 0e0 + round(cos(lon), 6) AS cos_x FROM o WHERE place = 1")
+def cell_first_vertex(spark, d):
+    ring = boundary.cell_boundary(F.col("region_code"), trim_dart=False, decimals=None)
+    b = aggregate.cell_frequency(cells(spark, d)).select("region_code", ring[0].alias("v"))
+    x = F.radians("v.x")
+    return b.select("region_code", F.round("v.y", 6).alias("y"), (F.lit(0.0) + F.round(F.sin(x), 6)).alias("sin_x"), (F.lit(0.0) + F.round(F.cos(x), 6)).alias("cos_x"))
+
+
 @query()
 def cell_outlines(spark, d):
     return workflows.density_map(cells(spark, d), 3)

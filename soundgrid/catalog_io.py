@@ -19,7 +19,8 @@ from soundgrid.plans import metadata, workflows
 from soundgrid.schema import required_schema
 from soundgrid.shared import scratch
 from soundgrid.ship import ship
-from soundgrid.sources import geojson, gsf, gsf_writer, sinks
+from soundgrid.sources import geojson, gsf, gsf_writer, sinks, vector
+from soundgrid.streaming import density
 
 _BEAMS = """
 SELECT CAST(floor(l_orderkey / 1000) AS BIGINT) AS file_id, l_orderkey AS o,
@@ -192,9 +193,9 @@ def ingest_logs(spark, d):
     """The whole job: logs to points and cell frequencies, read back."""
     out = scratch(spark, "ingest")
     bounds = workflows.ingest(spark, [folder_of_logs(spark, d)], f"{out}/points", f"{out}/cells", 9, step=100)
-    points = spark.read.parquet(f"{out}/points").agg(F.count("*").alias("points"), F.round(F.sum(F.col("Z").cast("double")), 1).alias("total"))
-    counted = spark.read.parquet(f"{out}/cells").agg(F.sum("count").alias("counted"))
-    return bounds.join(points).join(counted)  # one row each
+    points = spark.read.parquet(f"{out}/points").agg(F.count("*"), F.round(F.sum(F.col("Z").cast("double")), 1)).first()
+    counted = spark.read.parquet(f"{out}/cells").agg(F.sum("count")).first()[0]
+    return bounds.withColumns({"points": F.lit(points[0]), "total": F.lit(points[1]), "counted": F.lit(counted)})
 
 
 # sinks
@@ -309,6 +310,55 @@ def data_geometry(spark, d):
     return g.select("g.type", F.col("g.coordinates")[0][0][0].alias("x"), F.col("g.coordinates")[0][0][1].alias("y"))
 
 
+@query("SELECT n_nationkey AS k, f AS form, 'Polygon' AS type, CAST(2 AS BIGINT) AS rings, CAST(n_nationkey AS DOUBLE) AS x, n_nationkey + 10e0 AS y FROM nation, (VALUES ('geopackage'), ('shapefile'), ('geojson')) t(f)")
+def coverage_vectors(spark, d):
+    """A square with a hole for each nation, as three formats write it."""
+    ship(spark)
+
+    def made(pdf: pd.DataFrame) -> pd.DataFrame:
+        import sqlite3
+        import struct
+
+        rows = []
+        for k in pdf["n_nationkey"]:
+            rings = [[(k, k), (k, k + 10.0), (k + 10.0, k + 10.0), (k + 10.0, k), (k, k)], [(k + 1.0, k + 1.0), (k + 2.0, k + 1.0), (k + 2.0, k + 2.0), (k + 1.0, k + 1.0)]]
+            points = [struct.pack("<2d", *p) for r in rings for p in r]
+            shape = struct.pack("<i4d2i2i", 5, k, k, k + 10, k + 10, 2, 9, 0, 5) + b"".join(points)
+            rows.append((k, "shapefile", (struct.pack(">i", 9994)).ljust(100, b"\0") + struct.pack(">2i", 1, len(shape) // 2) + shape))
+            wkb = b"\1" + struct.pack("<2i", 3, 2) + b"".join(struct.pack("<i", len(r)) + b"".join(struct.pack("<2d", *p) for p in r) for r in rings)
+            db = sqlite3.connect(":memory:")
+            db.execute("CREATE TABLE gpkg_geometry_columns (table_name TEXT, column_name TEXT)")
+            db.execute("INSERT INTO gpkg_geometry_columns VALUES ('c', 'geom')")
+            db.execute("CREATE TABLE c (fid INTEGER PRIMARY KEY, geom BLOB)")
+            db.execute("INSERT INTO c (geom) VALUES (?)", (b"GP\0\1" + struct.pack("<i", 4326) + wkb,))
+            db.commit()
+            rows.append((k, "geopackage", db.serialize()))
+            rows.append((k, "geojson", json.dumps({"features": [{"geometry": {"type": "Polygon", "coordinates": rings}}]}).encode()))
+        return pd.DataFrame(rows, columns=["k", "form", "content"])
+
+    files = table(spark, d, "nation").select("n_nationkey").mapInPandas(lambda frames: map(made, frames), "k long, form string, content binary")
+    read = vector.geometries_of(files.select(F.concat_ws(" ", "k", "form").alias("path"), "content"))
+    g = F.from_json("geometry", "type string, coordinates array<array<array<double>>>")
+    return read.select(F.split("path", " ")[0].cast("long").alias("k"), F.split("path", " ")[1].alias("form"), g.alias("g")).select("k", "form", "g.type", F.size("g.coordinates").cast("long").alias("rings"), F.col("g.coordinates")[0][1][0].alias("x"), F.col("g.coordinates")[0][1][1].alias("y"))
+
+
+@query(f"WITH s AS ({SOUNDINGS}), w AS (SELECT CAST(floor(epoch(CAST(timestamp AS TIMESTAMP)) / 2592000) AS BIGINT) AS bucket, l_returnflag FROM s) SELECT bucket, l_returnflag, count(*) AS count FROM w GROUP BY 1, 2")
+def stream_density(spark, d):
+    """Counts per window of 30 days from a stream of written soundings, run until it is drained."""
+    out = scratch(spark, "stream")
+    soundings(spark, d).select(F.expr("timestamp_seconds(unix_date(CAST(timestamp AS DATE)) * 86400L)").alias("timestamp"), "l_returnflag").write.parquet(f"{out}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{out}/in").schema).parquet(f"{out}/in")
+    counted = density.windowed_density(stream, "30 days", "10 minutes", "l_returnflag")
+    flat = counted.select(F.floor(F.unix_micros("window.start") / 2592000000000).alias("bucket"), "l_returnflag", "count")
+
+    def keep(batch, k):
+        batch.write.mode("overwrite").parquet(f"{out}/out/{k}")
+
+    flat.writeStream.outputMode("update").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    batches = spark.read.option("recursiveFileLookup", True).parquet(f"{out}/out").withColumn("k", F.regexp_extract(F.col("_metadata.file_path"), r"/out/(\d+)/", 1).cast("long"))
+    return batches.groupBy("bucket", "l_returnflag").agg(F.max_by("count", "k").alias("count"))
+
+
 @query(f"WITH s AS ({SOUNDINGS}) SELECT 'Feature' AS type, 'u1' AS id, 4326 AS epsg, count(*) AS points, 'T' AS title, round(min(X), 4) AS min_x, round(max(Z), 4) AS max_z, strftime(max(CAST(timestamp AS TIMESTAMP)), '%Y-%m-%dT%H:%M:%S.%fZ') AS datetime, strftime(min(CAST(timestamp AS TIMESTAMP)), '%Y-%m-%dT%H:%M:%S.%fZ') AS start FROM s")
 def stac_document(spark, d):
     """A survey's STAC item, written as a document and read back."""
@@ -337,11 +387,11 @@ _SPARK_DATES = {"iso": "date_format(o_orderdate, 'yyyy-MM-dd')", "us": "date_for
 _WHOLE = "CAST(o_orderdate AS DATE)"
 
 
-@query(f"SELECT 'survey_details' AS sheet, CASE WHEN o_orderkey % 2 = 0 THEN 'start_datetime_' ELSE 'end_datetime_' END || o_orderkey AS field, CAST({_WHOLE} AS TIMESTAMP) AS \"when\" FROM orders")
+@query(f"SELECT 'survey_details' AS sheet, CASE WHEN o_orderkey % 2 = 0 THEN 'start_datetime_' ELSE 'end_datetime_' END || o_orderkey AS field, strftime({_WHOLE}, '%Y-%m-%d') AS day FROM orders")
 def harvest_dates(spark, d):
     """Field names lose their examples; dates are read in five ways of writing them."""
     rows = spark.sql(_DATED.format(**_SPARK_DATES).replace("FROM orders", "FROM {orders}"), orders=table(spark, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date")))
-    return metadata.harvest(rows).select("sheet", "field", "when")
+    return metadata.harvest(rows).select("sheet", "field", F.date_format("when", "yyyy-MM-dd").alias("day"))
 
 
 # plans without a partition key, boxes, footprints
@@ -360,7 +410,7 @@ def lanes_global(spark, d):
 @query(f"WITH s AS ({SOUNDINGS}) SELECT file_id, min(ping_number) AS min_ping, max(ping_number) AS max_ping, count(*) OVER () AS results FROM s GROUP BY 1")
 def block_ping_bounds(spark, d):
     bounds = planning.ping_bounds(soundings(spark, d), ["file_id"])
-    return bounds.join(bounds.agg(F.count("*").alias("results")))  # how many results came back: one row
+    return bounds.withColumn("results", F.lit(bounds.count()).cast("long"))  # how many results came back
 
 
 _TILES = "SELECT l_suppkey % 40 AS k, -175e0 + (l_suppkey % 40) * 8.5e0 AS min_x, -175e0 + (l_suppkey % 40) * 8.5e0 + 0.5e0 * (1 + l_suppkey % 3) AS max_x, -80e0 + (l_suppkey % 40) * 3.5e0 AS min_y, -80e0 + (l_suppkey % 40) * 3.5e0 + 5e0 AS max_y FROM lineitem"

@@ -290,6 +290,30 @@ def test_ingest_skips_empty_files(spark, log, tmp_path):
     assert workflows.ingest(spark, [log + "/empty.gsf"], str(tmp_path / "p3"), str(tmp_path / "c3"), 5).first()["end_datetime"] is None
 
 
+def test_vector_formats():
+    import struct
+
+    from soundgrid.sources import vector
+
+    square = [(0.0, 0.0), (0.0, 4.0), (4.0, 4.0), (4.0, 0.0), (0.0, 0.0)]
+    far = [(x + 10, y) for x, y in square]
+    hole = [(11.0, 1.0), (12.0, 1.0), (12.0, 2.0), (11.0, 1.0)]
+    points = b"".join(struct.pack("<2d", *p) for r in (square, far, hole) for p in r)
+    shape = struct.pack("<i4d2i3i", 5, 0, 0, 14, 4, 3, 14, 0, 5, 10) + points
+    file = struct.pack(">i", 9994).ljust(100, b"\0") + struct.pack(">2i", 1, len(shape) // 2) + shape
+    import json
+
+    made = json.loads(vector.first_geometry(file))
+    assert made["type"] == "MultiPolygon" and [len(p) for p in made["coordinates"]] == [1, 2] and made["coordinates"][1][1] == [list(p) for p in hole]
+    point = b"\0" + struct.pack(">I3d", 1001, 1.0, 2.0, 3.0)
+    assert vector._from_wkb(point)[0] == {"type": "Point", "coordinates": [1.0, 2.0, 3.0]}
+    several = b"\1" + struct.pack("<2I", 4, 2) + 2 * (b"\1" + struct.pack("<I2d", 1, 5.0, 6.0))
+    assert vector._from_wkb(several) == ({"type": "MultiPoint", "coordinates": [[5.0, 6.0]] * 2}, len(several))
+    assert vector.first_geometry(b'{"features": []}') is None and json.loads(vector.first_geometry(b'{"type": "Point", "coordinates": [1, 2]}'))["type"] == "Point"
+    with pytest.raises(ValueError):
+        vector.first_geometry(b"no vector")
+
+
 def test_outlines_and_centres_by_array(spark):
     df = spark.createDataFrame([([5.0, -1.0, 1.0], [0.0, 0.0, 0.0], 0), ([5.0, -1.0, 1.0], [0.0, 1.0, 0.0], 0), ([float("nan"), 3.0], None, 0), ([1.0], [0.0], 1), ([], [], 0), (None, None, 0)], "a array<double>, f array<double>, p int")
     assert [r[0] for r in df.select(navigation.centre_of_arrays(F.col("a"), F.col("f"), F.col("p"))).collect()] == [1, 2, None, None, None, None]
