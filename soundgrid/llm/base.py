@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from soundgrid.shared import cut, release, scratch, shared_dir
 from soundgrid.ship import ship
 
-__all__ = ["Forest", "components", "cut", "lookup", "release", "runs", "scratch", "shared_dir", "sieve", "text_or_empty", "tune"]
+__all__ = ["Forest", "components", "cut", "gathered", "lookup", "release", "runs", "scratch", "shared_dir", "sieve", "text_or_empty", "tune"]
 
 #: Rows in one Arrow batch: whole texts travel in them, so batches stay a few MB.
 BATCH_ROWS = 1000
@@ -100,6 +100,14 @@ class Forest:
         return True
 
 
+LEAN = 100_000  # lean rows of a table that one task reads at least
+
+
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """A table of `rows` lean rows in no more tasks than it needs: iterations over small tables would else fill the driver with the records of empty tasks."""
+    return df.coalesce(max(1, -(-rows // LEAN)))
+
+
 HOT = 1000  # rows of a key from which on it counts as hot
 HOTS = 100_000  # rows of a table that is broadcast, and hot keys, at most
 
@@ -134,15 +142,18 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     The graph is done when it is a forest of stars: when every node that has a smaller neighbour has no other (that neighbour then has none smaller).
     """
-    now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    now, rows = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), None
     for _ in range(rounds):
         now = cut(now)
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "u")))
+        rows = 2 * now.count() if rows is None else rows
+        both = gathered(now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))), rows)  # a small graph is one task, and no shuffle
+        least = gathered(cut(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "u"))), rows)
         open_, *counted = least.agg(F.sum(((F.col("m") < F.col("u")) & (F.col("n") > 1)).cast("long")), F.count("*"), F.sum("n"), F.max("n")).first()
         if not open_:
             return least.select(F.col("u").alias("node"), F.col("m").alias("component"))
-        large = lookup(both.where("v > u"), least, "u", counted=counted).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").repartition("u")  # one exchange for the aggregate and the join
+        rows = counted[1]
+        large = lookup(both.where("v > u"), least, "u", counted=counted).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = large if rows <= LEAN else large.repartition("u")  # one exchange for the aggregate and the join
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         now = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("s")).select("s.u", "s.v").where("u <> v").distinct()
     raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import cut, text_or_empty, tune
+from .base import cut, gathered, text_or_empty, tune
 from .langid import bounded_sample
 from .subword import Model, train
 
@@ -103,7 +103,8 @@ def fit_rates(scored: DataFrame, classes: list[str], weights: Mapping[str, float
     """Rates for `scored` (tokens, p), and a report: tokens expected and wanted by domain, residual (its length as a share of the budget), passes, whether
     the residual is the least.  `budget`: tokens wanted in all; by default what the scarcest domain allows at rate 1."""
     k = len(classes)
-    held = np.array(scored.agg(*(F.coalesce(F.sum(F.col("tokens") * F.col("p")[i]), F.lit(0.0)) for i in range(k))).first(), dtype=float)
+    rows, *held = scored.agg(F.count("*"), *(F.coalesce(F.sum(F.col("tokens") * F.col("p")[i]), F.lit(0.0)) for i in range(k))).first()
+    held, scored = np.array(held, dtype=float), gathered(scored, rows)
     share = np.array([weights.get(c, 0.0) for c in classes])
     share = share / share.sum() if share.sum() > 0 else np.full(k, 1 / k)
     share = np.where(held > 0, share, 0)
@@ -119,7 +120,8 @@ def fit_rates(scored: DataFrame, classes: list[str], weights: Mapping[str, float
     inner, reached, moments = _pass(scored, rates, k)
     mu, passes, converged = 0.1 * total, 1, False
     least = float(np.linalg.norm(reached - target)) / budget
-    while passes < PASSES:
+    stuck = False
+    while passes < PASSES and not stuck:
         value = mu / 2 * at @ at + target @ at + inner
         while passes < PASSES:  # damped Newton steps to the implicit step of this mu
             slope = mu * at + target - reached
@@ -134,11 +136,12 @@ def fit_rates(scored: DataFrame, classes: list[str], weights: Mapping[str, float
                 if now <= value + 1e-4 * length * (slope @ way) + 1e-12 * abs(value) or length < 1e-6:
                     break
                 length /= 2
-            if length < 1e-6:
+            if length < 1e-6:  # no step lowers the function any more, though its slope is not zero
+                stuck = True
                 break
             at, value, (inner, reached, moments) = to, now, tried
         residual = float(np.linalg.norm(reached - target)) / budget
-        if residual < CLOSE or abs(least - residual) < CLOSE:
+        if residual < CLOSE or (abs(least - residual) < CLOSE and not stuck):
             converged = True
             break
         least, mu = residual, mu / 10

@@ -148,8 +148,10 @@ def train(texts: list[str], labels: list[str], size: int = 16, epochs: int = 40,
     if len(classes) < 2:
         k = len(classes)
         return Model(classes, np.zeros((BUCKETS, k), np.float32), np.zeros(k), prior=prior, known=known, least_known=least_known)
-    x = np.stack([counts(t).astype(np.float32) for t in texts])
-    x *= SCALE / np.maximum(x.sum(axis=1, keepdims=True), 1)
+    x = np.empty((len(texts), BUCKETS), np.float32)  # the driver holds this one table
+    for k, t in enumerate(texts):
+        n_grams = counts(t)
+        x[k] = n_grams * (SCALE / max(n_grams.sum(), 1))
     e = rng.normal(0, 1 / size, (BUCKETS, size)).astype(np.float32)
     w = np.zeros((size, len(classes)), np.float32)
     b = np.zeros(len(classes), np.float32)
@@ -169,7 +171,7 @@ def train(texts: list[str], labels: list[str], size: int = 16, epochs: int = 40,
     table = (e @ w) * SCALE
     model = Model(classes, table.astype(np.float32), b.astype(np.float64), prior=prior, known=known, least_known=least_known)
     if len(held) >= 20:
-        z = x[held].astype(np.float64) @ table.astype(np.float64) / SCALE + b
+        z = np.stack([x[k] @ table for k in held]).astype(np.float64) / SCALE + b
         fits = [(-np.mean(np.log(softmax(z / t)[np.arange(len(held)), y[held]] + 1e-12)), t) for t in np.geomspace(0.5, 20, 60)]
         model.temperature = float(min(fits)[1])
         sure = softmax(z / model.temperature).max(axis=1)
