@@ -134,10 +134,34 @@ def lookup(left: DataFrame, right: DataFrame, key: str, n: str = "n", how: str =
     return both.select(*left.columns, *(F.when(met, F.col(f"{c}_of_hot")).otherwise(F.col(f"{c}_of_cold")).alias(c) for c in names))
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+ALONE = 4_000_000  # different edges that one task holds at most, with what is sorted a few hundred MB
+
+
+def least_reachable(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, least node of each one's component) of the edges u, v."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    up = np.arange(len(nodes))
+    while (up[a] != up[b]).any():
+        x, y = up[a], up[b]
+        np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))  # roots go below smaller neighbouring roots
+        while (up[up] != up).any():
+            up = up[up]
+    return nodes, nodes[up]
+
+
+def _alone(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if held := [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches]:
+        nodes, least = least_reachable(*map(np.concatenate, zip(*held, strict=True)))
+        for k in range(0, len(nodes), LEAN):
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[k : k + LEAN]), pa.array(least[k : k + LEAN])], names=["node", "component"])
+
+
+def components(edges: DataFrame, rounds: int = 60, alone: int = ALONE) -> DataFrame:
     """(node, component) of the undirected graph `edges` (u, v): component is the least node.
 
-    Alternating large-star and small-star rounds; each is an aggregate and a lookup on the node, which broadcasts what
+    Up to `alone` different edges, counted, are taken by one task: rounds over a small graph are dozens of jobs, whose records and threads fill the driver.
+    More go through alternating large-star and small-star rounds; each is an aggregate and a lookup on the node, which broadcasts what
     belongs to a hub.  Nodes without edges are absent.  Self-loops are ignored.
 
     The graph is done when it is a forest of stars: when every node that has a smaller neighbour has no other (that neighbour then has none smaller).
@@ -145,7 +169,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     now, rows = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), None
     for _ in range(rounds):
         now = cut(now)
-        rows = 2 * now.count() if rows is None else rows
+        if rows is None:
+            rows = 2 * now.count()
+            if rows <= 2 * alone:
+                return cut(now.select(F.col("u").cast("long"), F.col("v").cast("long")).coalesce(1).mapInArrow(_alone, "node long, component long"))
         both = gathered(now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))), rows)  # a small graph is one task, and no shuffle
         least = gathered(cut(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("m", "u"))), rows)
         open_, *counted = least.agg(F.sum(((F.col("m") < F.col("u")) & (F.col("n") > 1)).cast("long")), F.count("*"), F.sum("n"), F.max("n")).first()

@@ -413,6 +413,31 @@ def test_components_of_a_path_and_a_star(spark):
     assert set(got) == {*range(100, 161), *range(7, 60)} and {got[k] for k in range(100, 161)} == {100} and {got[k] for k in range(7, 60)} == {7}
 
 
+@pytest.mark.parametrize("alone", [0, 10_000])
+def test_components_by_one_task_and_by_rounds(spark, alone):
+    r = random.Random(5)
+    edges = [(r.randrange(900), r.randrange(900)) for _ in range(420)] + [(k + 1, k) for k in range(2000, 2300)] + [(5000, 4000 + k) for k in range(50)] + [(-3, 2**40), (6, 6), (2**40, -3)]
+    forest = base.Forest(len(nodes := sorted({x for e in edges if e[0] != e[1] for x in e})))
+    at = {x: k for k, x in enumerate(nodes)}
+    for u, v in edges:
+        if u != v:
+            forest.join(at[u], at[v])
+    got = [tuple(x) for x in base.components(spark.createDataFrame(edges, "u long, v long"), alone=alone).collect()]
+    assert sorted(got) == [(x, nodes[forest.root(at[x])]) for x in nodes]
+    assert base.components(spark.createDataFrame([], "u long, v long"), alone=alone).count() == 0
+
+
+def test_components_of_a_small_graph_take_few_jobs(spark):
+    """Each job leaves records and threads in the driver."""
+    sc = spark.sparkContext
+    sc.setJobGroup("few", "few")
+    try:
+        assert base.components(spark.createDataFrame([(k, k + 1) for k in range(200)], "u long, v long")).where("component = 0").count() == 201
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("few")) <= 12
+
+
 def test_sketches_ask_for_every_pair_within_the_margin():
     r = np.random.default_rng(12)
     pool = r.integers(0, 2**64, 300, dtype=np.uint64)
