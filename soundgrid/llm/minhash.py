@@ -310,6 +310,6 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     keep = sieve(found.where("not kept or rows > 1").select(F.col("doc_id").alias("id")))
     here = docs.where("doc_id is not null")
     alone = keep(here, "doc_id", among=False).select(*names)
-    ids = found.where("kept").select(F.col("doc_id").alias("doc_id_of_kept"))
-    checked = keep(here, "doc_id").join(ids, F.col("doc_id") == F.col("doc_id_of_kept"), "left_semi").dropDuplicates(["doc_id"]).select(*names)
+    ids = found.where("kept").select(F.col("doc_id").alias("doc_id_of_kept"))  # unique; a semi-join would be pushed below the sieve, and shuffle all texts
+    checked = keep(here, "doc_id").join(ids, F.col("doc_id") == F.col("doc_id_of_kept")).dropDuplicates(["doc_id"]).select(*names)
     return alone.unionByName(checked).unionByName(docs.where("doc_id is null").select(*names))

@@ -427,6 +427,19 @@ def test_components_by_one_task_and_by_rounds(spark, alone):
     assert base.components(spark.createDataFrame([], "u long, v long"), alone=alone).count() == 0
 
 
+def test_only_texts_of_dropped_or_repeated_ids_are_shuffled(spark):
+    """The sieve stands below the join with the kept ids, so that other texts do not reach its exchange."""
+    words = [" ".join(f"w{k}x{i}" for i in range(12)) for k in range(300)]
+    docs = spark.createDataFrame([(k, words[k % 300], "s") for k in range(310)] + [(299, "once more", "t")], "doc_id long, text string, source string").cache()
+    kept = minhash.keep_first(docs)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = [len(re.match(r"[\s:+|-]*", x)[0]) for x in plan]
+    (at,) = (k for k, x in enumerate(plan) if "Join" in x and "doc_id_of_kept" in x)
+    below = [plan[k] for k in range(at + 1, next((k for k in range(at + 1, len(plan)) if depth[k] <= depth[at]), len(plan)))]
+    assert any("Join" in x and "bucket_of_sieve" in x for x in below)
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(300))
+
+
 def test_components_of_a_small_graph_take_few_jobs(spark):
     """Each job leaves records and threads in the driver."""
     sc = spark.sparkContext
